@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numbers
 from ..sources.aggregate_store import Openings
-from .rankings import at_home, sector_states, state_totals, total
+from .rankings import at_home, total
 
 GROWTH_FLOOR = 300
 GROWTH_ROWS = 5
@@ -83,7 +83,9 @@ def location_quotient(d: Openings, month: dt.date | None = None,
             F.max("cnae_descricao").alias("descricao"), total().alias("n")
         )
     )
-    whole = pairs.agg(F.sum("n")).scalar().cast("double")
+    # The total reads the same columns as the rows, so Spark runs one shuffle for both.
+    described = F.when(F.col("descricao").isNotNull(), F.col("n"))
+    whole = pairs.agg(F.sum(described)).scalar().cast("double")
     in_state = F.sum("n").over(Window.partitionBy("uf")).cast("double")
     in_sector = F.sum("n").over(Window.partitionBy("cnae_principal"))
     return (
@@ -133,14 +135,20 @@ def sector_quotients(d: Openings, codes: DataFrame, key: str, floor: int = HERO_
     sector description. National shares use all states; the floor only decides
     which states may be named.
     """
-    in_sector = sector_states(d, codes, [key], month)
-    states = state_totals(d, month)
-    whole = states.agg(F.sum("n")).scalar().cast("double")
-    national = F.sum("n").over(Window.partitionBy(key)).cast("double")
+    sums = d.in_month(month).where(at_home()).groupBy("uf", "cnae_principal").agg(
+        total().alias("n")
+    )
+    whole = sums.agg(F.sum("n")).scalar().cast("double")
+    in_state = F.sum("n").over(Window.partitionBy("uf"))
+    in_sector = (
+        sums.withColumn("_uf", in_state)
+        .join(codes.select(key, "cnae_principal").distinct(), "cnae_principal")
+        .groupBy(key, "uf").agg(total("n").alias("n"), F.max("_uf").alias("_uf"))
+    )
+    national = F.sum("n").over(Window.partitionBy(key))
     return (
-        in_sector.withColumn("_br", national)
+        in_sector.withColumn("_br", national.cast("double"))
         .where(F.col("n") >= floor)
-        .join(states.select("uf", F.col("n").alias("_uf")), "uf")
         .withColumn(
             "lq", (F.col("n").cast("double") / F.col("_uf").cast("double"))
             / (F.col("_br") / whole),

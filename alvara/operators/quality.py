@@ -96,13 +96,13 @@ def forbidden_files(names: DataFrame, forbidden: DataFrame, where: str) -> DataF
 def row_widths(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
     """Rows and malformed rows per shard; all rows are looked at, not the first."""
     rows = scan(spark, path, table, layout, mode="PERMISSIVE", keep_bad=True)
-    first_column = layout.tables[table].columns[0]
+    # Together with a data column, so that the parser reads whole rows.
+    bad = F.when(
+        F.col(BAD_ROW).isNotNull(), F.coalesce(layout.tables[table].columns[0], BAD_ROW)
+    )
     return rows.groupBy(F.col(SOURCE_FILE).alias("file")).agg(
-        F.count(F.lit(1)).cast("long").alias("rows"),
-        F.count(F.col(BAD_ROW)).cast("long").alias("bad"),
-        # A data column keeps the parser reading whole rows.
-        F.count(F.col(first_column)).alias("_seen"),
-    ).drop("_seen")
+        F.count(F.lit(1)).cast("long").alias("rows"), F.count(bad).cast("long").alias("bad")
+    )
 
 
 def column_widths(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:

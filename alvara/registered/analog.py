@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators.companies import new_companies, window_start
 from ..operators.weekly import weekly_aggregate
 from ..plans.catalogue import HERO_CODES, Settings
-from ..sources.aggregate_store import Openings, opened
+from ..session import materialise, run_dir
+from ..sources import aggregate_store
 from ..sources.dimensions import ABROAD, SECTORS, Sector
 
 EXTRACTION = dt.date(2000, 7, 15)
@@ -36,6 +38,24 @@ SHARE_BOUNDS = (5.0, 20.0)
 FOCUS = "NATION_3"
 
 
+# Schemas of the tables read, so that no job has to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 def _brands() -> list[Sector]:
     """The friendly sectors with brands in place of the official codes, in order."""
     made, brand = [], 0
@@ -76,14 +96,22 @@ def _day(column: str) -> Column:
 
 @dataclass(frozen=True)
 class Analog:
-    """The six raw tables and the population over one folder of Parquet files."""
+    """The six raw tables and the population over one folder of Parquet files.
+
+    Views are analysed once per session. What a registry has as files of its own
+    (code tables, population, the published aggregate) is written once to the
+    shared folder, so that later plans know its true size and do not derive it
+    again.
+    """
 
     spark: SparkSession
     folder: str
 
+    @cache
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    @cache
     def establishments(self, opened: tuple[dt.date, dt.date] | None = None) -> DataFrame:
         """All establishments, or those that orders of a date range stand for.
 
@@ -139,6 +167,7 @@ class Analog:
     def _city() -> Column:
         return (F.col("c_nationkey") * 10 + F.col("c_custkey") % 4).cast("string")
 
+    @cache
     def companies(self) -> DataFrame:
         return self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -153,38 +182,46 @@ class Analog:
             .when(F.col("c_mktsegment") == "FURNITURE", "05").otherwise("00").alias("porte"),
         )
 
+    @cache
     def simples(self) -> DataFrame:
         return self.table("customer").select(
             _digits("c_custkey", 8).alias("cnpj_basico"),
             F.when(F.col("c_mktsegment") == "HOUSEHOLD", "S").otherwise("N").alias("opcao_mei"),
         )
 
+    @cache
     def sectors(self) -> DataFrame:
         brands = self.table("part").where(F.col("p_brand") != UNDESCRIBED)
-        return brands.select("p_brand").distinct().select(
+        named = brands.select("p_brand").distinct().select(
             F.col("p_brand").alias("codigo"),
             F.concat(
                 F.lit("Comercio de "), "p_brand",
                 F.lit(", exceto usados, nao especificados anteriormente"),
             ).alias("descricao"),
         )
+        return materialise(named, "sectors")
 
+    @cache
     def cities(self) -> DataFrame:
         codes = self.table("customer").select(self._city().alias("codigo")).distinct()
-        return codes.withColumn("descricao", F.concat(F.lit("CITY_"), "codigo"))
+        named = codes.withColumn("descricao", F.concat(F.lit("CITY_"), "codigo"))
+        return materialise(named, "cities")
 
+    @cache
     def natures(self) -> DataFrame:
         return self.table("region").select(
             F.col("r_regionkey").cast("string").alias("codigo"), F.col("r_name").alias("descricao")
         )
 
+    @cache
     def population(self) -> DataFrame:
         homes = self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         ).where(F.col("n_nationkey") != ABROAD_NATION)
-        return homes.groupBy(F.col("n_name").alias("uf")).agg(
+        people = homes.groupBy(F.col("n_name").alias("uf")).agg(
             (F.count(F.lit(1)) * 1000).alias("hab")
         )
+        return materialise(people, "population")
 
     def raw(self, opened: tuple[dt.date, dt.date] | None = None) -> dict[str, DataFrame]:
         return {
@@ -196,12 +233,18 @@ class Analog:
             "naturezas": self.natures(),
         }
 
+    @cache
     def new_companies(self, extraction: dt.date = EXTRACTION, branches: bool = False) -> DataFrame:
         window = (window_start(extraction), extraction)
         return new_companies(self.raw(window), extraction, branches)
 
+    @cache
     def weekly(self, extraction: dt.date = EXTRACTION) -> DataFrame:
         return weekly_aggregate(self.new_companies(extraction), extraction)
 
-    def openings(self) -> Openings:
-        return opened(self.weekly(), EXTRACTION)
+    @cache
+    def openings(self) -> aggregate_store.Openings:
+        """The cuts' only input: the aggregate, published and opened."""
+        root = run_dir(self.spark, "aggregate")
+        aggregate_store.publish(self.weekly(), root)
+        return aggregate_store.open_aggregate(self.spark, root)

@@ -11,7 +11,7 @@ from ..functions import dates, numbers, text
 from ..operators import companies, measures, picks, quality, rankings, weekly
 from ..plans import captions as caption_plans
 from ..plans import catalogue, cuts
-from ..session import run_dir, tuned
+from ..session import materialise, run_dir, tuned
 from ..sources import aggregate_store, dimensions, registry_csv
 from ..sources.layout import Layout, TableLayout, layout_for
 from . import analog
@@ -648,7 +648,7 @@ def spot_sample(a: Analog) -> DataFrame:
 @registered
 def check_report(a: Analog) -> DataFrame:
     return quality.report(
-        a.new_companies(), a.raw(), analog.EXTRACTION, bounds=analog.BOUNDS,
+        materialise(a.new_companies(), "companies"), a.raw(), analog.EXTRACTION, bounds=analog.BOUNDS,
         leader=analog.LEADER, share_bounds=analog.SHARE_BOUNDS,
     )
 
