@@ -94,8 +94,8 @@ def new_companies(raw: Mapping[str, DataFrame], extraction: dt.date,
     """The relation every later step reads: ``ALLOWED_COLUMNS`` and nothing else.
 
     Filters come first and cut the establishments to a few percent; only then do
-    the two joins on the company id run. The company side is pruned by the bloom
-    filter Spark derives from the filtered ids.
+    the two joins on the company id run, on one partitioning by that id. The code
+    tables are small files, so Spark broadcasts them by their size on disk.
     """
     chosen = opened_within(active(raw["estabelecimentos"]), extraction, days)
     if not include_branches:

@@ -85,6 +85,17 @@ def complete_load(expected: DataFrame, manifest: DataFrame, listing: DataFrame)
     ))
 
 
+def archive_hashes(manifest: DataFrame, hashed: DataFrame) -> DataFrame:
+    """Archives whose SHA-256 on disk is not the recorded one; both have ``sha256``."""
+    both = manifest.select("nome", F.col("sha256").alias("_recorded")).join(
+        hashed.where(F.col("sha256").isNotNull()).select("nome", "sha256"), "nome"
+    )
+    return _rows(both, rule_row(
+        "archive_hash", F.col("nome"), F.col("sha256"), F.col("_recorded"), HARD,
+        F.col("sha256") == F.col("_recorded"),
+    ))
+
+
 def forbidden_files(names: DataFrame, forbidden: DataFrame, where: str) -> DataFrame:
     """Names that must not exist; an empty result is the good one."""
     found = names.select("nome").distinct().join(forbidden.select("nome"), "nome", "left_semi")

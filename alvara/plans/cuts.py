@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,10 +48,17 @@ class Month:
     def of(self, family: str) -> list[Entry]:
         return [entry for entry in self.entries if entry.family == family]
 
-    def by_side(self, family: str) -> DataFrame:
-        """Openings per entry, side and state for a family given by sector codes."""
-        codes = codes_frame(self.spark, self.of(family))
-        return rankings.sector_states(self.d, codes, ["chave", "lado"])
+    @cached_property
+    def sides(self) -> DataFrame:
+        """Openings per entry, side and state, abroad included, for all entries with codes."""
+        codes = codes_frame(self.spark, self.entries)
+        return rankings.sector_states(self.d, codes, ["chave", "lado"], abroad=True)
+
+    def by_side(self, family: str, abroad: bool = False) -> DataFrame:
+        """The same for the entries of one family."""
+        keys = [entry.key for entry in self.of(family)]
+        own = self.sides.where(F.col("chave").isin(*keys))
+        return own if abroad else own.where(rankings.at_home())
 
     def floors(self, family: str) -> DataFrame:
         return self.spark.createDataFrame(
@@ -120,9 +127,7 @@ def city_rankings(m: Month) -> DataFrame:
 
 
 def sector_spotlights(m: Month) -> DataFrame:
-    codes = codes_frame(m.spark, m.of("setor"))
-    states = rankings.sector_states(m.d, codes, ["chave"], abroad=True)
-    top = rankings.ranked(states, "n", "uf", ["chave"], rankings.TOP)
+    top = rankings.ranked(m.by_side("setor", abroad=True), "n", "uf", ["chave"], rankings.TOP)
     return tidy(top, "uf", "n", count="n", highlight=_leads())
 
 
@@ -273,6 +278,8 @@ def run(d: Openings, entries: Sequence[Entry], population: DataFrame,
     """
     month = Month(two_months(d), population, settings or Settings(), entries,
                   quotient_floors, growth_floor, growth_ceiling)
+    if any(entry.codes for entry in entries):
+        month.sides = materialise(month.sides, "sides")
     wanted = [family for family in FAMILIES if month.of(family)]
     found = reduce(DataFrame.unionByName, [FAMILIES[family](month) for family in wanted])
     listed = as_frame(month.spark, entries)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..operators.companies import ALLOWED_COLUMNS, new_companies
-from ..operators.weekly import merge_extractions, weekly_aggregate
+from ..operators.weekly import first_week, merge_extractions, weekly_aggregate
 from ..session import tuned
 from ..sources import aggregate_store, manifest, registry_csv
 from ..sources.layout import layout_for
@@ -76,5 +76,6 @@ def run_month(spark: SparkSession, places: Places, extraction: str,
     merged = merge_extractions(
         weekly_aggregate(companies, day),
         aggregate_store.current(spark, places.aggregate), left_edge,
+        settled_before=first_week(day),
     )
     return aggregate_store.publish(merged, places.aggregate)

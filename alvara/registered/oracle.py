@@ -106,7 +106,7 @@ def weeks(name: str, source: str, day: str) -> str:
     return f"""
 {name} as (
   select cast(date_trunc('week', data_abertura) as date) semana, uf, municipio_codigo, municipio,
-    cnae_principal, cnae_descricao, cast(count(*) as integer) contagem, date '{day}' data_extracao,
+    cnae_principal, cnae_descricao, count(*) contagem, date '{day}' data_extracao,
     cast(date_trunc('week', data_abertura) as date) + 6 > date '{day}' semana_parcial
   from {source} where data_abertura is not null and uf is not null group by all)"""
 

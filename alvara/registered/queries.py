@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def _shards(a: Analog) -> Layout:
     """The registry's layout, for shards named by Spark's own writer."""
     layout = layout_for("2026-06")
     tables = {
-        name: TableLayout(spec.columns, "*.csv", spec.archives)
+        name: replace(spec, glob="*.csv")
         for name, spec in layout.tables.items()
     }
     return Layout(tables, layout.forbidden, layout.csv)
@@ -54,7 +55,8 @@ def _write_shards(df: DataFrame, spec: TableLayout, path: str) -> None:
     full = df.select(*[
         (F.col(name) if name in df.columns else F.lit("")).alias(name) for name in spec.columns
     ])
-    full.write.options(
+    shards = max(len(spec.archives), df.sparkSession.sparkContext.defaultParallelism)
+    full.repartition(shards).write.options(
         sep=";", header="false", quote='"', escape='"', encoding="ISO-8859-1", quoteAll="true",
     ).csv(path)
 

@@ -17,7 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the next join then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

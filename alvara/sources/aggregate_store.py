@@ -20,7 +20,7 @@ AGGREGATE = T.StructType([
     T.StructField("municipio", T.StringType()),
     T.StructField("cnae_principal", T.StringType()),
     T.StructField("cnae_descricao", T.StringType()),
-    T.StructField("contagem", T.IntegerType()),
+    T.StructField("contagem", T.LongType()),
     T.StructField("data_extracao", T.DateType()),
     T.StructField("semana_parcial", T.BooleanType()),
 ])

@@ -16,6 +16,8 @@ class TableLayout:
     columns: tuple[str, ...]
     glob: str
     archives: tuple[str, ...]
+    #: Columns that staged files are sorted by, file by file, for page skipping.
+    clustered_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -66,6 +68,7 @@ _V2026_06 = Layout(
             ),
             "*.ESTABELE",
             _numbered("Estabelecimentos"),
+            ("situacao_cadastral", "data_inicio_atividade"),
         ),
         "simples": TableLayout(
             (

@@ -150,8 +150,12 @@ def stage(spark: SparkSession, raw_root: str, stage_root: str, extraction: str,
         target = f"{stage_root}/extracao={extraction}/{table}"
         if table not in done:
             source = f"{raw_root}/{extraction}/{table}"
-            scan(spark, source, table, layout).write.mode("overwrite") \
-                .option("compression", "zstd").parquet(target)
+            rows = scan(spark, source, table, layout)
+            if spec.clustered_by:
+                # A sort inside each task, without a shuffle: the status and the
+                # opening window then skip most pages of every file.
+                rows = rows.sortWithinPartitions(*spec.clustered_by)
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(target)
             ledger.append(spark, done_root, STAGED, [(extraction, table)])
         staged[table] = spark.read.schema(spec.schema).parquet(target)
         staged[table].createOrReplaceTempView(table)

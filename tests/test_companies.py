@@ -139,6 +139,19 @@ def test_merge_is_idempotent_and_the_rerun_wins(spark):
     assert weekly.merge_extractions(first, None) is first
 
 
+def test_settled_weeks_are_passed_on(spark):
+    older = dt.date(2026, 6, 13)
+    first = weekly.first_week(DAY)
+    assert first == dt.date(2026, 4, 6)
+    history = aggregate(spark, [
+        cell(first - dt.timedelta(days=7), n=8, day=older), cell(first, n=5, day=older),
+        cell(dt.date(2026, 6, 1), n=6, day=older)])
+    new = aggregate(spark, [cell(first, n=1), cell(dt.date(2026, 7, 6), n=2)])
+    whole = weekly.merge_extractions(new, history)
+    split = weekly.merge_extractions(new, history, settled_before=first)
+    assert sorted(whole.collect()) == sorted(split.collect()) and whole.count() == 4
+
+
 def test_left_edge_week(spark):
     # 2026-07-11 less 90 days is Sunday 2026-04-12: its week is cut on the left.
     week, older = dt.date(2026, 4, 6), dt.date(2026, 6, 13)
@@ -153,3 +166,31 @@ def test_left_edge_week(spark):
     assert counts("keep") == {"1": 50, "2": 1}
     with pytest.raises(ValueError):
         weekly.merge_extractions(new, history, "neither")
+
+
+def test_a_company_with_most_branches_is_split_over_tasks(spark):
+    rows = [establishment("00000001", kind="2", order=f"{i:04d}", street=f"S{i} " * 40)
+            for i in range(3000)]
+    rows += [establishment(f"{i:08d}") for i in range(2, 1500)]
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        raw = tables(spark, rows)
+        new = companies.new_companies(raw, DAY, include_branches=True)
+        counts = {r.cnpj_basico: r["count"] for r in
+                  new.groupBy(new.cnpj.substr(1, 8).alias("cnpj_basico")).count().collect()}
+        new.collect()
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert counts["00000001"] == 3000 and len(counts) == 1499
+    assert "skew=true" in plan and "BroadcastHashJoin" not in plan and "Nested" not in plan

@@ -144,6 +144,10 @@ def test_manifest_roundtrip(spark, tmp_path):
     built = manifest.build(hashed, "2026-06", "u").first()
     assert [a.nome for a in built.arquivos] == ["A.zip", "B.zip"]
     assert built.total_bytes == sum(e["bytes"] for e in entries)
+    assert all(r.ok for r in quality.archive_hashes(read, hashed).collect())
+    (tmp_path / "B.zip").write_bytes(b"ZIP of B.zip")
+    changed = quality.archive_hashes(read, manifest.hashed_listing(spark, str(tmp_path)))
+    assert {r.subject: r.ok for r in changed.collect()} == {"A.zip": True, "B.zip": False}
     unhashed = manifest.hashed_listing(spark, str(tmp_path), hash_limit=0)
     assert {r.sha256 for r in unhashed.collect()} == {None} and unhashed.count() == 2
 
