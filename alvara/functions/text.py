@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,19 +106,22 @@ def distinct_labels(df: DataFrame, text: str, within: Sequence[str] = ()) -> Dat
         .withColumn("_level", F.lit(1))
         .withColumn("label", F.element_at("_forms", F.col("_level")))
     )
+    keys = [*within, "label"]
     for _ in range(len(forms) - 1):
         crowded = (
-            level.where(F.col("label").isNotNull())
-            .groupBy(*within, "label").agg(F.count(F.lit(1)).alias("_n"))
-            .where("_n > 1").select(*within, "label", F.lit(1).alias("_up"))
+            level.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+            .select(*[F.col(key).alias(f"_{key}") for key in keys], F.lit(1).alias("_up"))
         )
+        # Null-safe keys imply no filter on one side only, so both sides read the
+        # same shuffle of the distinct texts.
+        same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
         level = (
-            level.join(crowded, [*within, "label"], "left")
+            level.join(crowded, same, "left")
             .withColumn(
                 "_level",
                 F.least(F.lit(len(forms)), F.col("_level") + F.coalesce("_up", F.lit(0))),
             )
             .withColumn("label", F.element_at("_forms", F.col("_level")))
-            .drop("_up")
+            .drop("_up", *[f"_{key}" for key in keys])
         )
     return level.select(*within, text, "label")

@@ -60,10 +60,12 @@ class Month:
         own = self.sides.where(F.col("chave").isin(*keys))
         return own if abroad else own.where(rankings.at_home())
 
-    def floors(self, family: str) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(e.key, e.floor) for e in self.of(family)], "chave string, piso int"
-        )
+    def floor(self, family: str) -> Column:
+        """The floor of each row's entry, as an expression over ``chave``."""
+        chain = F.lit(None).cast("int")
+        for entry in self.of(family):
+            chain = F.when(F.col("chave") == entry.key, entry.floor).otherwise(chain)
+        return chain
 
 
 def tidy(df: DataFrame, label: str | Column, value: str | Column, *, order: str | Column = "posicao",
@@ -174,8 +176,8 @@ def rates(m: Month) -> DataFrame:
         if not entry.codes:
             whole = rankings.state_totals(m.d)
             parts.append(whole.select(F.lit(entry.key).alias("chave"), "uf", "n"))
-    counts = reduce(DataFrame.unionByName, parts).join(m.floors("percapita"), "chave")
-    eligible = measures.per_capita(counts.where(F.col("n") >= F.col("piso")), m.population)
+    counts = reduce(DataFrame.unionByName, parts).where(F.col("n") >= m.floor("percapita"))
+    eligible = measures.per_capita(counts, m.population)
     placed = rankings.ranked(eligible, "por_100k", "uf", ["chave"])
     leader = F.max(F.when(F.col("uf") == m.settings.leader, F.col("posicao"))).over(
         Window.partitionBy("chave")
@@ -185,8 +187,8 @@ def rates(m: Month) -> DataFrame:
 
 
 def ratios(m: Month) -> DataFrame:
-    sums = _sides(m, "razao").join(m.floors("razao"), "chave").where(
-        (F.col("b") >= F.col("piso")) & (F.col("b") > 0) & (F.col("a") > 0)
+    sums = _sides(m, "razao").where(
+        (F.col("b") >= m.floor("razao")) & (F.col("b") > 0) & (F.col("a") > 0)
     ).withColumn("razao", numbers.ratio("a", "b"))
     top = rankings.ranked(sums, "razao", "uf", ["chave"], rankings.TOP)
     return tidy(top, "uf", "razao", other="b", count="a", highlight=_leads())
@@ -217,9 +219,9 @@ def signatures(m: Month) -> DataFrame:
 def heroes(m: Month) -> DataFrame:
     """Leader and runner-up of each hero sector."""
     codes = codes_frame(m.spark, m.of("lqhero"))
-    quotients = measures.sector_quotients(m.d, codes, "chave", floor=0).join(
-        m.floors("lqhero"), "chave"
-    ).where(F.col("n") >= F.col("piso"))
+    quotients = measures.sector_quotients(m.d, codes, "chave", floor=0).where(
+        F.col("n") >= m.floor("lqhero")
+    )
     top = rankings.ranked(quotients, "lq", "uf", ["chave"], 2)
     return tidy(top, "uf", "lq", count="n", highlight=_leads())
 
@@ -281,11 +283,10 @@ def run(d: Openings, entries: Sequence[Entry], population: DataFrame,
     if any(entry.codes for entry in entries):
         month.sides = materialise(month.sides, "sides")
     wanted = [family for family in FAMILIES if month.of(family)]
-    found = reduce(DataFrame.unionByName, [FAMILIES[family](month) for family in wanted])
+    rows = materialise(reduce(DataFrame.unionByName, [
+        FAMILIES[family](month).withColumn("familia", F.lit(family)) for family in wanted
+    ]), "cuts")
     listed = as_frame(month.spark, entries)
-    rows = materialise(
-        found.join(listed.select("chave", "familia"), "chave"), "cuts"
-    )
     labels = text.distinct_labels(
         rows.where(F.col("familia").isin(*DESCRIBED)), "rotulo", ["chave"]
     )
