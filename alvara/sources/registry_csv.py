@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
-from . import ledger
+from . import ledger, spanning
 from .layout import Layout, layout_for
 
 BAD_ROW = "_bad_row"
@@ -23,49 +24,48 @@ def unbalanced_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     When it is zero every record ends at its line end, and Spark may split the
     shard at any line. Otherwise a quoted value spans lines.
     """
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     lines = spark.read.option("pathGlobFilter", glob).text(path)
     return (
-        lines.select(F.col("_metadata.file_path").alias("file"), (quotes % 2).alias("odd"))
+        lines.select(
+            F.col("_metadata.file_path").alias("file"), spanning.odd_quotes("value").alias("odd")
+        )
         .groupBy("file").agg(F.sum("odd").cast("long").alias("odd_lines"))
     )
 
 
 def scan(spark: SparkSession, path: str, table: str, layout: Layout,
-         mode: str = "FAILFAST", keep_bad: bool = False,
-         multi_line: bool | None = None) -> DataFrame:
+         mode: str = "FAILFAST", keep_bad: bool = False) -> DataFrame:
     """All shards of one table as text, control characters replaced by ``?``.
 
-    ``multi_line=None`` looks first: shards whose lines balance are read in
-    splits; the others, one task per shard, with values that may span lines. The
-    list of those shards is as short as the folder listing. Reading stops at a
-    row of the wrong width in mode FAILFAST.
+    A first look at the quotes tells which shards have values that span lines;
+    their names are all that comes to the driver. Both kinds are read in splits.
+    In mode FAILFAST a row of the wrong width stops the scan.
     """
     spec = layout.tables[table]
-    options = dict(layout.csv, mode=mode, columnPruning="false")
+    options = dict(layout.csv, mode=mode)
     schema = spec.schema
     if keep_bad:
         options["columnNameOfCorruptRecord"] = BAD_ROW
         schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
 
-    def read(paths, spanning: bool) -> DataFrame:
-        reader = spark.read.schema(schema).options(**options)
-        reader = reader.option("multiLine", str(spanning).lower())
-        rows = reader.option("pathGlobFilter", spec.glob).csv(paths)
+    even, odd = [], []
+    for row in unbalanced_files(spark, path, spec.glob).toLocalIterator():
+        (odd if row.odd_lines else even).append(row.file)
+
+    parts = []
+    if even or not odd:
+        reader = spark.read.schema(schema).options(**options, columnPruning="false")
+        plain = reader.option("pathGlobFilter", spec.glob).csv(even if odd else path)
         # File metadata is only known directly above the read, not above a union.
-        return rows.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
-
-    if multi_line is not None:
-        raw = read(path, multi_line)
-    else:
-        even, odd = [], []
-        for row in unbalanced_files(spark, path, spec.glob).toLocalIterator():
-            (odd if row.odd_lines else even).append(row.file)
-        if not odd:
-            raw = read(path, False)
-        else:
-            raw = read(odd, True)
-            raw = read(even, False).unionByName(raw) if even else raw
+        parts.append(plain.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE)))
+    if odd:
+        found = spanning.records(spark, odd, layout.csv["encoding"])
+        parsed = F.from_csv("record", schema.toDDL(), options)
+        parts.append(
+            found.select(parsed.alias("_row"), F.col("file").alias(SOURCE_FILE))
+            .select("_row.*", SOURCE_FILE)
+        )
+    raw = reduce(DataFrame.unionByName, parts)
     cleaned = [text.scrub_controls(name).alias(name) for name in spec.columns]
     if keep_bad:
         cleaned += [F.col(BAD_ROW), F.col(SOURCE_FILE)]

@@ -1,15 +1,17 @@
 """Shards, staging, manifests and the whole monthly run, on files written here."""
 
+import csv
 import datetime as dt
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from alvara.operators import companies, quality
 from alvara.plans import monthly
-from alvara.sources import aggregate_store, manifest, registry_csv
+from alvara.sources import aggregate_store, manifest, registry_csv, spanning
 from alvara.sources.layout import Layout, layout_for
 
 LAYOUT = layout_for("2026-06")
@@ -55,6 +57,42 @@ def test_values_that_span_lines(spark, tmp_path):
     assert scan(spark, tmp_path) == [("1", "first\nsecond;still"), ("2", "b"), ("3", "c")]
 
 
+@pytest.mark.parametrize("seed, split", [(1, 40), (2, 97), (3, 1 << 20)])
+def test_records_may_cross_splits(spark, tmp_path, seed, split):
+    dice = random.Random(seed)
+    alphabet = ["a", "é", ";", '"', "\n", "\n\n", "x" * 30, " "]
+    expected = []
+    for number in range(3):
+        values = [
+            ("".join(dice.choice(alphabet) for _ in range(dice.randint(1, 12))), f"{number}-{i}")
+            for i in range(60)
+        ]
+        expected += values
+        with open(tmp_path / f"F{number}.CNAECSV", "w", encoding="latin-1", newline="") as f:
+            csv.writer(f, delimiter=";", quoting=csv.QUOTE_ALL, lineterminator="\n").writerows(values)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        assert scan(spark, tmp_path) == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bad_rows_next_to_spanning_values(spark, tmp_path):
+    shard(tmp_path, "cnaes", ['"1";"first\nsecond"', '"2"', "", '"3";"c"'])
+    widths = quality.row_widths(spark, str(tmp_path), "cnaes", LAYOUT).first()
+    assert (widths.rows, widths.bad) == (3, 1)
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        scan(spark, tmp_path)
+
+
+def test_an_unclosed_quote_stops_the_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spanning, "RECORD_LIMIT", 100)
+    shard(tmp_path, "cnaes", ['"1";"open'] + [f'"{i}";"text"' for i in range(50)])
+    with pytest.raises(Exception, match="unclosed quote"):
+        scan(spark, tmp_path)
+
+
 @pytest.mark.parametrize("bad", ['"2"', '"2";"b";"c"'])
 def test_a_row_of_the_wrong_width_stops_the_scan(spark, tmp_path, bad):
     shard(tmp_path, "cnaes", ['"1";"a"', bad])
