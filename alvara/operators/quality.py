@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
+from ..sources import manifest as manifest_files
 from ..sources.layout import Layout
 from ..sources.registry_csv import BAD_ROW, SOURCE_FILE, scan
 from .companies import (
@@ -116,19 +117,26 @@ def row_widths(spark: SparkSession, path: str, table: str, layout: Layout) -> Da
     )
 
 
+def shard_count(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
+    """One shard per archive; fewer would be a partial load that no total betrays.
+
+    Counted from the folder listing, so empty shards count and nothing is read.
+    """
+    spec = layout.tables[table]
+    shards = manifest_files.listing(spark, path, spec.glob).agg(F.count(F.lit(1)).alias("n"))
+    wanted = len(spec.archives)
+    return _rows(shards, rule_row(
+        "shard_count", table, F.col("n"), wanted, HARD, F.col("n") == wanted
+    ))
+
+
 def column_widths(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
     """Rule rows: the shard count of a table and the width of every row of a shard."""
-    spec = layout.tables[table]
-    widths = row_widths(spark, path, table, layout)
-    per_shard = _rows(widths, rule_row(
+    per_shard = _rows(row_widths(spark, path, table, layout), rule_row(
         "row_width", F.concat(F.lit(f"{table}/"), F.col("file")), F.col("bad"), 0, HARD,
         F.col("bad") == 0,
     ))
-    shards = widths.agg(F.count(F.lit(1)).alias("n"))
-    wanted = len(spec.archives)
-    return per_shard.unionByName(_rows(shards, rule_row(
-        "shard_count", table, F.col("n"), wanted, HARD, F.col("n") == wanted
-    )))
+    return per_shard.unionByName(shard_count(spark, path, table, layout))
 
 
 def foreign_columns(columns: Sequence[str]) -> list[str]:

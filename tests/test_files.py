@@ -286,6 +286,18 @@ def test_two_months_end_to_end(spark, tmp_path):
         monthly.run_month(spark, places, "2026-07")
 
 
+def test_a_month_with_a_crooked_row_names_the_shard(spark, tmp_path):
+    people = [(f"{i:08d}", "20260601") for i in range(20)]
+    places = write_month(tmp_path, "2026-06", "60613", people)
+    crooked = tmp_path / "raw" / "2026-06" / "empresas"
+    shard(crooked, "empresas", ['"1";"2"'], 7, "60613")
+    with pytest.raises(quality.QualityError, match="row_width empresas/K3241.K03200Y7"):
+        monthly.run_month(spark, places, "2026-06", bounds=(1, 100))
+    (crooked / "K3241.K03200Y7.D60613.EMPRECSV").unlink()
+    with pytest.raises(quality.QualityError, match="shard_count empresas"):
+        monthly.run_month(spark, places, "2026-06", bounds=(1, 100))
+
+
 def test_aggregate_files_are_sorted_and_measured(spark, tmp_path):
     rows = [(dt.date(2026, 6, 1) + dt.timedelta(days=7 * (i % 5)), f"U{i % 7}", str(i), "M", f"{i % 11}",
              "D", 1, dt.date(2026, 7, 11), False) for i in range(500)]
