@@ -584,7 +584,7 @@ def caption(e: Entry) -> str:
     )
 
 
-sql("caption_length", ALL.replace("round(cast(t.", "round(cast("), f"""
+sql("caption_length", ALL, f"""
 select *, cast(length(texto) as integer) n_texto, cast(length(alt) as integer) n_alt,
   length(texto) <= 280 and length(alt) <= 1000 ok
 from ({' union all '.join(caption(e) for e in ENTRIES)})""")
