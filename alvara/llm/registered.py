@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .pieces import op2_sentencepiece
+from .secrets import op9_secret_scan
 from .simhash import op7_simhash_near_dedup
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
