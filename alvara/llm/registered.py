@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from .embeddings import op8_embedding_near_dedup
+from .html_text import op10_html_extraction
+from .mixing import op5_mixing
 from .pieces import op2_sentencepiece
+from .quality_rules import op6_quality_rules
 from .secrets import op9_secret_scan
+from .sharding import op1_sharding
 from .simhash import op7_simhash_near_dedup
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_mixing": op5_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {}
