@@ -15,10 +15,12 @@ stops the job. Vocabularies with other settings than those used here are refused
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from itertools import chain
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,7 @@ from .common import table, tidy
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 #: Segments that a worker keeps; the table starts anew beyond.
-KEPT = 300_000
+KEPT = 600_000
 #: Rows of a piece of a batch; bounds what is held between texts and ids.
 ROWS = 256
 
@@ -51,8 +53,9 @@ class Vocabulary:
         kinds = {p.type for p in proto.pieces}
         if proto.trainer_spec.model_type != 2 or not plain or not norm.escape_whitespaces or kinds & {4, 5}:
             raise ValueError(f"not a plain merge-type vocabulary: {path}")
-        self.score = {p.piece: p.score for p in proto.pieces if p.type == 1}
-        if any(MARK in p.lstrip(MARK) for p in self.score):
+        place = {s: k for k, s in enumerate(sorted({p.score for p in proto.pieces}, reverse=True))}
+        self.rank = {p.piece: place[p.score] for p in proto.pieces if p.type == 1}
+        if any(MARK in p.lstrip(MARK) for p in self.rank):
             raise ValueError(f"a piece goes on over a word mark: {path}")
         self.id = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == 1}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
@@ -61,33 +64,38 @@ class Vocabulary:
         self.end = self.library.eos_id()
 
     def merge(self, segment: str) -> list[str]:
-        """The symbols that are left when no adjacent pair spells a piece."""
-        score, part = self.score, list(segment)
+        """The symbols that are left when no adjacent pair spells a piece.
+
+        An entry of the agenda is a pair's rank and the place of its left symbol in one
+        number. It is out of date if what stands there now has another rank.
+        """
+        rank, part = self.rank.get, list(segment)
         n = len(part)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = []
-        for i in range(n - 1):
-            pair = part[i] + part[i + 1]
-            if pair in score:
-                agenda.append((-score[pair], i, i + 1, pair))
-        heapq.heapify(agenda)
+        agenda = [r << 32 | i for i, r in enumerate(map(rank, map(add, part, part[1:]))) if r is not None]
+        heapify(agenda)
         while agenda:
-            _, i, j, pair = heapq.heappop(agenda)
-            if part[i] is None or part[j] is None or part[i] + part[j] != pair or right[i] != j:
-                continue  # one side was merged meanwhile
-            part[i], part[j] = pair, None
+            entry = heappop(agenda)
+            i = entry & 0xFFFFFFFF
+            j = right[i]
+            if j >= n or not part[i]:
+                continue
+            pair = part[i] + part[j]
+            if rank(pair) != entry >> 32:
+                continue
+            part[i], part[j] = pair, ""
             right[i] = after = right[j]
             if after < n:
                 left[after] = i
-                new = pair + part[after]
-                if new in score:
-                    heapq.heappush(agenda, (-score[new], i, after, new))
+                r = rank(pair + part[after])
+                if r is not None:
+                    heappush(agenda, r << 32 | i)
             before = left[i]
             if before >= 0:
-                new = part[before] + pair
-                if new in score:
-                    heapq.heappush(agenda, (-score[new], before, i, new))
-        return [p for p in part if p is not None]
+                r = rank(part[before] + pair)
+                if r is not None:
+                    heappush(agenda, r << 32 | before)
+        return [p for p in part if p]
 
     def ids(self, segment: str) -> list[int]:
         out = []
@@ -119,16 +127,16 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoded(dict):
-    """Segment to its ids, as text with a blank before each."""
+    """Segment to its ids, as text with a blank before each and as numbers."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
         self.words, self.new = words, {}
 
-    def __missing__(self, segment: str) -> str:
+    def __missing__(self, segment: str) -> tuple[str, list[int]]:
         ids = self.new[segment] = self.words.ids(segment)
-        self[segment] = text = "".join([f" {i}" for i in ids])
-        return text
+        self[segment] = both = "".join([f" {i}" for i in ids]), ids
+        return both
 
     def settle(self) -> None:
         """Check what is new, and keep the table bounded."""
@@ -144,15 +152,17 @@ def encoded(path: str) -> Encoded:
     return Encoded(vocabulary(path))
 
 
-def encode_text(path: str, text: str | None, end: bool = True) -> str:
-    """Decimal ids of the whole text with blanks between; an end id comes last."""
+def encode_text(path: str, text: str | None, end: bool = True) -> tuple[str, list[int]]:
+    """The ids of the whole text, an end id last: as decimals with blanks between, and as numbers."""
     known = encoded(path)
-    found = "".join([known[s] for s in known.words.segments(text or "")])
-    return (found + f" {known.words.end}" if end else found)[1:]
+    found = [known[s] for s in known.words.segments(text or "")]
+    if end:
+        found.append((f" {known.words.end}", [known.words.end]))
+    return "".join([t for t, _ in found])[1:], list(chain.from_iterable([i for _, i in found]))
 
 
 OUT = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("ids", T.StringType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
     T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())])
 DIGEST = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -165,17 +175,17 @@ def _run(path: str, digest: bool, end: bool):
 
     def rows(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = vocabulary(path)
-        ids = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
+        both = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
         encoded(path).settle()
-        split = [list(map(int, i.split())) for i in ids]
-        texts = [words.library.decode(i) for i in split]
-        counts = [len(i) for i in split]
-        columns = [piece.column(0), counts, [sha(i) for i in ids], [sha(t) for t in texts]] if digest \
-            else [piece.column(0), ids, counts, texts]
-        return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, list) else c for c in columns],
-                                          schema=digest_schema if digest else out_schema)
-
-    out_schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.string()), ("n_tokens", pa.int64()), ("decoded", pa.string())])
+        texts = [words.library.decode(ids) for _, ids in both]
+        counts = [len(ids) for _, ids in both]
+        schema = digest_schema if digest else out_schema
+        columns = [counts, [sha(ids) for ids, _ in both], [sha(t) for t in texts]] if digest \
+            else [[ids for _, ids in both], counts, texts]
+        return pa.RecordBatch.from_arrays(
+            [piece.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))], schema=schema)
+
+    out_schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded", pa.string())])
     digest_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                                ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -189,7 +199,7 @@ def _run(path: str, digest: bool, end: bool):
 def encode_decode(docs: DataFrame, path: str, end: bool = True) -> DataFrame:
     """(doc_id, ids, n_tokens, decoded) of every row of ``docs`` (doc_id, text).
 
-    ``ids``: decimal ids with blanks between, an end id last if ``end``; ``decoded``: the
+    ``ids``: numbers, the end id last if ``end``; ``decoded``: the
     text that the library decodes from them. A null text counts as empty, so its only id
     is the end id. Rows are treated alone: repeated rows, null ids and further columns
     change nothing, and an empty table gives an empty result.

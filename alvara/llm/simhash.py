@@ -160,12 +160,16 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE
 def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group, all columns.
 
-    Of repeated rows with that doc_id one stays. Rows without doc_id always stay.
+    Of several rows with that doc_id one stays. Rows without doc_id always stay. Texts
+    are only shuffled where the ids to be dropped are too many to be broadcast.
     """
     groups = simhash_groups(docs.where("doc_id is not null"), radius, shingle)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(
-        docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    ids = materialise(groups.groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
+    once = docs.join(materialise(ids.where("not stays or n > 1").select("doc_id"), "other_ids"), "doc_id", "left_anti")
+    several = materialise(ids.where("stays and n > 1").select("doc_id"), "repeated_ids")
+    return once.select(docs.columns).unionByName(
+        docs.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
