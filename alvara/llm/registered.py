@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .embeddings import op8_embedding_near_dedup
 from .html_text import op10_html_extraction
+from .lm_scores import OP3_SQL, op3_lm_scores
 from .mixing import op5_mixing
 from .pieces import op2_sentencepiece
 from .quality_rules import op6_quality_rules
@@ -14,6 +15,7 @@ from .simhash import op7_simhash_near_dedup
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_lm_scores": op3_lm_scores,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -22,4 +24,4 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_lm_scores": OP3_SQL}
