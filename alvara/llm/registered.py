@@ -8,6 +8,7 @@ from .lm_scores import OP3_SQL, op3_lm_scores
 from .mixing import op5_mixing
 from .pieces import op2_sentencepiece
 from .quality_rules import op6_quality_rules
+from .repeats import op4_suffix_dedup
 from .secrets import op9_secret_scan
 from .sharding import op1_sharding
 from .simhash import op7_simhash_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_lm_scores": op3_lm_scores,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
