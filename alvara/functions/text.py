@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The boilerplate that official sector descriptions carry.
-UNSPECIFIED_TAIL = r"(?iu)\s*,?\s*n[ãa]o especificad[oa]s?\s+anteriormente"
-EXCEPT_CLAUSE = r"(?iu),\s*exceto\s+[^,]+?(?=,|$)"
+UNSPECIFIED_TAIL = r"(?iuU)\s*,?\s*n[ãa]o especificad[oa]s?\s+anteriormente"
+EXCEPT_CLAUSE = r"(?iuU),\s*exceto\s+[^,]+?(?=,|\n?\z)"
 ADDRESS_PARTS = ["tipo_logradouro", "logradouro", "numero", "complemento", "bairro", "cep"]
 CONTROL_CHARACTERS = "".join(chr(code) for code in range(0x80, 0xA0))
 
@@ -67,13 +67,13 @@ def shorten(text: str | Column, limit: int = 34) -> Column:
     before = F.substring(head, F.lit(1), F.length(head) - F.length(last_word) - 1)
     kept = F.when(F.length(last_word) >= F.length(head) - 1, head).otherwise(before)
     return F.when(F.length(text) <= limit, text).otherwise(
-        F.concat(F.regexp_replace(kept, "[,;]+$", ""), F.lit("…"))
+        F.concat(F.regexp_replace(kept, r"[,;]+\z", ""), F.lit("…"))
     )
 
 
 def label_variants(text: str | Column) -> list[Column]:
     """Three forms of a description, from the shortest to the whole."""
-    whole = F.regexp_replace(_strip(_col(text)), "[. ]+$", "")
+    whole = F.regexp_replace(_strip(_col(text)), r"[. ]+\z", "")
     specified = _tidy(F.regexp_replace(whole, UNSPECIFIED_TAIL, ""))
     short = _tidy(F.regexp_replace(specified, EXCEPT_CLAUSE, ""))
     return [short, specified, whole]
@@ -84,11 +84,12 @@ def clean_label(text: str | Column) -> Column:
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    # Unicode blanks too, and the four separators that are no white space to Java.
+    return F.regexp_replace(text, r"(?U)\A[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z", "")
 
 
 def _tidy(text: Column) -> Column:
-    return F.regexp_replace(_strip(text), "[,. ]+$", "")
+    return F.regexp_replace(_strip(text), r"[,. ]+\z", "")
 
 
 def distinct_labels(df: DataFrame, text: str, within: Sequence[str] = ()) -> DataFrame:

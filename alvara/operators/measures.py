@@ -34,10 +34,12 @@ def share_of_total(df: DataFrame, key: str) -> DataFrame:
 
 def growth_by_sector(d: Openings, month: dt.date | None = None,
                      previous: dt.date | None = None, floor: int = GROWTH_FLOOR,
-                     limit: int = GROWTH_ROWS) -> DataFrame:
+                     limit: int = GROWTH_ROWS, ceiling: float | None = None) -> DataFrame:
     """Fastest growing sectors, both months at or above the floor.
 
-    Both months come out of one scan and one grouping.
+    Both months come out of one scan and one grouping. With ``ceiling`` growth beyond
+    it is left out before the list is cut to ``limit`` rows; by default the list is cut
+    first, and :func:`plausible_growth` looks at what is on it.
     """
     month = month or d.month
     previous = previous or dates.previous_month(month)
@@ -51,21 +53,18 @@ def growth_by_sector(d: Openings, month: dt.date | None = None,
         .where((F.col("agora") >= floor) & (F.col("antes") >= floor))
         .withColumn("variacao", numbers.growth_percent("agora", "antes"))
     )
+    if ceiling is not None:
+        counts = counts.where(F.col("variacao") <= ceiling)
     return counts.orderBy(
         F.col("variacao").desc(), F.col("cnae_descricao").asc_nulls_last()
     ).limit(limit)
 
 
 def plausible_growth(growth: DataFrame, ceiling: float = GROWTH_CEILING) -> DataFrame:
-    """Growth up to the ceiling; everything when nothing stays below it.
-
-    ``growth`` is the short list above, so one window over it is one small task.
-    """
-    everything = Window.partitionBy(F.lit(1))
-    marked = growth.withColumn("_ok", F.col("variacao") <= ceiling)
-    some = F.max("_ok").over(everything)
-    return marked.withColumn("_some", some).where(F.col("_ok") | ~F.col("_some")) \
-        .drop("_ok", "_some")
+    """Growth up to the ceiling; everything when nothing stays below it."""
+    plausible = F.col("variacao") <= ceiling
+    some = growth.agg(F.bool_or(plausible)).scalar()
+    return growth.where(plausible | ~some)
 
 
 def location_quotient(d: Openings, month: dt.date | None = None,
@@ -114,19 +113,6 @@ def per_capita(counts: DataFrame, population: DataFrame, floor: int = 0) -> Data
     )
 
 
-def ratio_by_state(d: Openings, numerator: Sequence[str], denominator: Sequence[str],
-                   floor: int = RATE_FLOOR, month: dt.date | None = None) -> DataFrame:
-    """Openings of one set of sectors for each opening of another, per state."""
-    above, below = (F.col("cnae_principal").isin(*codes) for codes in (numerator, denominator))
-    sums = d.in_month(month).where(at_home() & (above | below)).groupBy("uf").agg(
-        F.coalesce(F.sum(F.when(above, F.col("contagem"))), F.lit(0)).cast("long").alias("n_num"),
-        F.coalesce(F.sum(F.when(below, F.col("contagem"))), F.lit(0)).cast("long").alias("n_den"),
-    )
-    return sums.where(
-        (F.col("n_den") >= floor) & (F.col("n_den") > 0) & (F.col("n_num") > 0)
-    ).withColumn("razao", numbers.ratio("n_num", "n_den"))
-
-
 def sector_quotients(d: Openings, codes: DataFrame, key: str, floor: int = HERO_FLOOR,
                      month: dt.date | None = None) -> DataFrame:
     """Location quotient of whole sectors (by codes), for every key of ``codes``.
@@ -157,19 +143,6 @@ def sector_quotients(d: Openings, codes: DataFrame, key: str, floor: int = HERO_
     )
 
 
-def paired_sectors(d: Openings, codes_x: Sequence[str], codes_y: Sequence[str],
-                   month: dt.date | None = None) -> DataFrame:
-    """Raw counts of two sectors side by side, for states that have both."""
-    in_x, in_y = (F.col("cnae_principal").isin(*codes) for codes in (codes_x, codes_y))
-    return (
-        d.in_month(month).where(at_home() & (in_x | in_y)).groupBy("uf").agg(
-            F.sum(F.when(in_x, F.col("contagem"))).cast("long").alias("x"),
-            F.sum(F.when(in_y, F.col("contagem"))).cast("long").alias("y"),
-        )
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    )
-
-
 def trend_line(points: DataFrame, within: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """Least-squares line per group and its two end points; NULL below two points."""
     fitted = points.groupBy(*within).agg(

@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
+from ..sources import ledger
 from .rankings import ranked
 
 SIGNATURES = 8
-USED = "extracao string, fila string, chave string"
+USED = T.StructType([
+    T.StructField("extracao", T.StringType()), T.StructField("fila", T.StringType()),
+    T.StructField("ciclo", T.IntegerType()), T.StructField("chave", T.StringType()),
+])
 
 
 def signature_sectors(quotients: DataFrame, within: Sequence[str] = (),
@@ -69,30 +74,51 @@ def signature_sectors(quotients: DataFrame, within: Sequence[str] = (),
 
 
 def next_unused(catalogue: DataFrame, used: DataFrame) -> DataFrame:
-    """The entry each queue of each extraction should show next.
+    """The entry each queue of each extraction should show next, and its cycle.
 
     ``catalogue``: ``extracao, fila, posicao, chave``; ``used``: ``extracao, fila,
-    chave``, one row per use. The least used entry comes first, then catalogue
-    order: nothing repeats before the queue is through, and then it starts over.
-    A new extraction has no uses yet, which resets its queues.
+    ciclo, chave``. The first entry in catalogue order that the current cycle has not
+    shown comes next, also one that joined the catalogue late. When all have been
+    shown, the next cycle starts with the first entry. A new extraction has no uses
+    yet, which resets its queues.
     """
-    uses = used.groupBy("extracao", "fila", "chave").agg(F.count(F.lit(1)).alias("_uses"))
-    entries = catalogue.join(uses, ["extracao", "fila", "chave"], "left")
-    turn = F.struct(F.coalesce("_uses", F.lit(0)).alias("uses"), "posicao", "chave")
+    queue = ["extracao", "fila"]
+    current = used.groupBy(*queue).agg(F.max("ciclo").alias("ciclo"))
+    entries = catalogue.select(*queue, "posicao", "chave").join(current, queue, "left").withColumn(
+        "ciclo", F.coalesce("ciclo", F.lit(1))
+    )
+    entry = F.min(F.struct("posicao", "chave"))
+    left = entries.join(used, [*queue, "ciclo", "chave"], "left_anti").groupBy(*queue).agg(
+        entry.alias("_next")
+    )
     return (
-        entries.groupBy("extracao", "fila").agg(F.min(turn).alias("t"))
-        .select("extracao", "fila", F.col("t.posicao").alias("posicao"),
-                F.col("t.chave").alias("chave"))
+        entries.groupBy(*queue).agg(entry.alias("_first"), F.max("ciclo").alias("_cycle"))
+        .join(left, queue, "left")
+        .withColumn("_pick", F.coalesce("_next", "_first"))
+        .select(
+            *queue, (F.col("_cycle") + F.when(F.col("_next").isNull(), 1).otherwise(0))
+            .cast("int").alias("ciclo"),
+            F.col("_pick.posicao").alias("posicao"), F.col("_pick.chave").alias("chave"),
+        )
     )
 
 
 def record_use(picks: DataFrame, root: str) -> None:
-    """Append picks to the state table; call it after they have been delivered."""
-    picks.select("extracao", "fila", "chave").coalesce(1).write.mode("append").parquet(root)
+    """Append picks to the state table; call it after they have been delivered.
+
+    One row for each queue, so they go through the ledger, whole or not at all.
+    """
+    rows = [tuple(r) for r in picks.select("extracao", "fila", "ciclo", "chave").collect()]
+    ledger.append(picks.sparkSession, root, USED, rows)
+
+
+def read_uses(spark: SparkSession, root: str) -> DataFrame:
+    """What has been recorded so far; empty at first."""
+    return ledger.read(spark, root, USED)
 
 
 def read_queue_file(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON queue state as rows of ``extracao, fila, chave``.
+    """A JSON queue state, which knows its running cycle only, as rows of cycle 1.
 
     A file of the older shape (one plain list) counts as empty.
     """
@@ -100,4 +126,4 @@ def read_queue_file(spark: SparkSession, path: str) -> DataFrame:
     state = spark.read.schema(schema).option("multiLine", "true").json(path)
     return state.select(
         F.col("data_extracao").alias("extracao"), F.explode("usados").alias("fila", "_keys")
-    ).select("extracao", "fila", F.explode("_keys").alias("chave"))
+    ).select("extracao", "fila", F.lit(1).alias("ciclo"), F.explode("_keys").alias("chave"))

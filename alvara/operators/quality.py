@@ -87,16 +87,27 @@ def complete_load(expected: DataFrame, manifest: DataFrame, listing: DataFrame)
 
 
 def archive_hashes(manifest: DataFrame, hashed: DataFrame) -> DataFrame:
-    """Archives whose SHA-256 on disk is not the recorded one; both have ``sha256``."""
+    """A row for every recorded archive: its SHA-256 on disk against the recorded one.
+
+    An archive that is missing, or has no hash on either side, fails the rule.
+    """
     both = manifest.select("nome", F.col("sha256").alias("_recorded")).join(
-        hashed.where(F.col("sha256").isNotNull()).select("nome", "sha256"), "nome"
+        hashed.select("nome", "sha256", F.lit(True).alias("_there")), "nome", "left"
     )
+    observed = F.coalesce("sha256", F.when(F.col("_there"), "no hash").otherwise("not on disk"))
     return _rows(both, rule_row(
-        "archive_hash", F.col("nome"), F.col("sha256"), F.col("_recorded"), HARD,
+        "archive_hash", F.col("nome"), observed, F.coalesce("_recorded", F.lit("no hash")), HARD,
         F.col("sha256") == F.col("_recorded"),
     ))
 
 
+def missing_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The failing row of a dump that has no manifest."""
+    return _rows(spark.range(1), rule_row(
+        "manifest", path, "not on disk", "a manifest", HARD, F.lit(False)
+    ))
+
+
 def forbidden_files(names: DataFrame, forbidden: DataFrame, where: str) -> DataFrame:
     """Names that must not exist; an empty result is the good one."""
     found = names.select("nome").distinct().join(forbidden.select("nome"), "nome", "left_semi")
@@ -221,8 +232,8 @@ def state_share(companies: DataFrame, limit: int = 8) -> DataFrame:
 
 def state_share_rules(companies: DataFrame, leader: str = LEADING_STATE,
                       bounds: tuple[float, float] = SHARE_BOUNDS) -> DataFrame:
-    """The leading state's share; a state below the first eight counts as zero."""
-    share = state_share(companies).agg(
+    """The leading state's share, from all states; zero if it has no company."""
+    share = share_of_total(companies, "uf").agg(
         F.coalesce(F.max(F.when(F.col("uf") == leader, F.col("pct"))), F.lit(0.0)).alias("pct")
     )
     low, high = bounds
@@ -290,11 +301,16 @@ def aggregate_size(bytes_frame: DataFrame, limit: int = AGGREGATE_WARNING_BYTES)
 
 
 def caption_lengths(captions: DataFrame) -> DataFrame:
-    """Captions (``chave, texto, alt``) against the limits of where they appear."""
+    """Captions (``chave, texto, alt``) against the limits of where they appear.
+
+    A missing text or description fails.
+    """
     return captions.select(
         "chave",
         F.length("texto").alias("n_texto"), F.length("alt").alias("n_alt"),
-        ((F.length("texto") <= TEXT_LIMIT) & (F.length("alt") <= ALT_LIMIT)).alias("ok"),
+        F.coalesce(
+            (F.length("texto") <= TEXT_LIMIT) & (F.length("alt") <= ALT_LIMIT), F.lit(False)
+        ).alias("ok"),
     )
 
 

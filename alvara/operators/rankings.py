@@ -34,8 +34,11 @@ def ranked(df: DataFrame, value: str, label: Sequence[str] | str, within: Sequen
 
     With ``keep`` Spark cuts every input partition to ``keep`` rows per group
     before the shuffle, so a heavy group never travels whole. Leave it out only
-    where the groups are bounded by the number of states or sectors.
+    where the groups are bounded by the number of states or sectors; a ranking of
+    everything without it would be one task, and is refused.
     """
+    if not within and keep is None:
+        raise ValueError("a ranking of everything needs keep")
     labels = [label] if isinstance(label, str) else list(label)
     order = Window.partitionBy(*within).orderBy(
         F.col(value).desc_nulls_last(), *[F.col(name).asc_nulls_last() for name in labels]
@@ -119,13 +122,6 @@ def state_totals(d: Openings, month: dt.date | None = None) -> DataFrame:
     return _top(cells.groupBy("uf").agg(total().alias("n")), "uf", None)
 
 
-def sector_state_totals(d: Openings, codes: Sequence[str],
-                        month: dt.date | None = None) -> DataFrame:
-    """Every state's openings in a sector, abroad left out."""
-    cells = d.in_month(month).where(at_home() & F.col("cnae_principal").isin(*codes))
-    return _top(cells.groupBy("uf").agg(total().alias("n")), "uf", None)
-
-
 def sector_states(d: Openings, codes: DataFrame, key: Sequence[str],
                   month: dt.date | None = None, abroad: bool = False) -> DataFrame:
     """Openings per ``key`` and state, for all sectors of ``codes`` at once.

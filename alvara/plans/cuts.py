@@ -27,7 +27,6 @@ from .catalogue import Entry, Settings, as_frame, codes_frame
 
 TIDY = ["chave", "ordem", "rotulo", "detalhe", "valor", "valor_b", "n", "destaque"]
 DUEL_ROWS = 5
-DUEL_OTHER_ROWS = 200
 
 # Fewer rows than this and the entry has no data; 1 where not named.
 LEAST_ROWS = {"recorte_cidade": 3, "lqhero": 2, "espuria": 5, "dupla": 2}
@@ -38,11 +37,12 @@ class Month:
 
     def __init__(self, d: Openings, population: DataFrame, settings: Settings,
                  entries: Sequence[Entry], quotient_floors: tuple[int, int],
-                 growth_floor: int, growth_ceiling: float):
+                 growth_floor: int, growth_ceiling: float, duel_other_rows: int | None = None):
         self.d, self.population, self.settings = d, population, settings
         self.entries = list(entries)
         self.quotient_floors = quotient_floors
         self.growth_floor, self.growth_ceiling = growth_floor, growth_ceiling
+        self.duel_other_rows = duel_other_rows
         self.spark = d.cells.sparkSession
 
     def of(self, family: str) -> list[Entry]:
@@ -134,7 +134,10 @@ def sector_spotlights(m: Month) -> DataFrame:
 
 
 def duels(m: Month) -> DataFrame:
-    """The first sectors of A beside B's count of each, 0 outside B's first 200."""
+    """The first sectors of A beside B's count of each.
+
+    With ``duel_other_rows`` sectors outside B's first so many count as 0.
+    """
     pairs = m.spark.createDataFrame(
         [(e.key, e.params["uf"], e.params["uf_b"]) for e in m.of("duelo")],
         "chave string, uf_a string, uf_b string",
@@ -145,16 +148,14 @@ def duels(m: Month) -> DataFrame:
         .groupBy("uf", "cnae_descricao").agg(rankings.total().alias("n"))
     )
 
-    def side(name: str, keep: int) -> DataFrame:
-        own = pairs.select("chave", F.col(name).alias("uf"))
-        return rankings.ranked(
-            sums.join(own, "uf"), "n", "cnae_descricao", ["chave"], keep
-        ).drop("uf")
+    def side(name: str, keep: int | None) -> DataFrame:
+        own = sums.join(pairs.select("chave", F.col(name).alias("uf")), "uf")
+        return own if keep is None else rankings.ranked(own, "n", "cnae_descricao", ["chave"], keep)
 
-    other = side("uf_b", DUEL_OTHER_ROWS).select(
+    other = side("uf_b", m.duel_other_rows).select(
         "chave", "cnae_descricao", F.col("n").alias("n_b")
     )
-    both = side("uf_a", DUEL_ROWS).join(other, ["chave", "cnae_descricao"], "left")
+    both = side("uf_a", DUEL_ROWS).drop("uf").join(other, ["chave", "cnae_descricao"], "left")
     return tidy(both, "cnae_descricao", "n", other=F.coalesce("n_b", F.lit(0)), count="n")
 
 
@@ -272,14 +273,15 @@ def run(d: Openings, entries: Sequence[Entry], population: DataFrame,
         quotient_floors: tuple[int, int] = (
             measures.QUOTIENT_FLOOR, measures.QUOTIENT_NATIONAL_FLOOR),
         growth_floor: int = measures.GROWTH_FLOOR,
-        growth_ceiling: float = measures.GROWTH_CEILING) -> DataFrame:
+        growth_ceiling: float = measures.GROWTH_CEILING,
+        duel_other_rows: int | None = None) -> DataFrame:
     """Rows of every entry, with ``status`` ``ok`` or ``no_data``.
 
     An entry without enough data keeps one row, so that no entry disappears and
     none can stop the others.
     """
     month = Month(two_months(d), population, settings or Settings(), entries,
-                  quotient_floors, growth_floor, growth_ceiling)
+                  quotient_floors, growth_floor, growth_ceiling, duel_other_rows)
     if any(entry.codes for entry in entries):
         month.sides = materialise(month.sides, "sides")
     wanted = [family for family in FAMILIES if month.of(family)]

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
@@ -29,15 +30,21 @@ class Places:
         return f"{self.work}/new_companies/extracao={extraction}"
 
 
-def file_rules(spark: SparkSession, places: Places, extraction: str) -> list[DataFrame]:
+def file_rules(spark: SparkSession, places: Places, extraction: str,
+               verify_hashes: bool = False) -> list[DataFrame]:
     """Rules about archives and shards; they hold before anything is staged.
 
-    Only listings and the manifest are read. The width of the rows is left to the
+    Only listings and the manifest are read, and with ``verify_hashes`` the archives. The width of the rows is left to the
     staging, which parses everything once and stops at the first wrong row.
     """
     layout = layout_for(extraction)
     folder = f"{places.archives}/{extraction}"
-    recorded = manifest.read(spark, f"{folder}/manifest.json")
+    try:
+        recorded = manifest.read(spark, f"{folder}/manifest.json")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [quality.missing_manifest(spark, f"{folder}/manifest.json")]
     present = manifest.listing(spark, folder)
     expected = spark.createDataFrame([(n,) for n in layout.expected_archives()], "nome string")
     forbidden = spark.createDataFrame([(n,) for n in layout.forbidden], "nome string")
@@ -49,6 +56,8 @@ def file_rules(spark: SparkSession, places: Places, extraction: str) -> list[Dat
             quality.shard_count(spark, f"{places.raw}/{extraction}/{table}", table, layout)
             for table in layout.tables
         ],
+        *([quality.archive_hashes(recorded, manifest.hashed_listing(spark, folder))]
+          if verify_hashes else []),
     ]
 
 
@@ -64,14 +73,14 @@ def write_companies(raw: Mapping[str, DataFrame], extraction: dt.date, target: s
 def run_month(spark: SparkSession, places: Places, extraction: str,
               include_branches: bool = False, left_edge: str = "replace",
               bounds: tuple[int, int] = quality.MONTHLY_BOUNDS,
-              shuffle_bytes: int | None = None) -> str:
+              shuffle_bytes: int | None = None, verify_hashes: bool = False) -> str:
     """One extraction from shards to a published aggregate version.
 
     File rules gate the staging and data rules gate the aggregate: whatever
     fails, the published version stays as it was.
     """
     tuned(spark, shuffle_bytes)
-    for rules in file_rules(spark, places, extraction):
+    for rules in file_rules(spark, places, extraction, verify_hashes):
         quality.enforce(rules)
     try:
         raw = registry_csv.stage(spark, places.raw, f"{places.work}/staging", extraction)

@@ -72,43 +72,54 @@ pop as (
   select n_name uf, count(*) * 1000 hab from customer join nation on c_nationkey = n_nationkey
   where n_nationkey <> 24 group by n_name),
 ender as (
-  select *, nullif(trim(concat_ws(' ', nullif(tipo_logradouro, ''), nullif(logradouro, ''),
-    nullif(numero, ''), nullif(complemento, ''), nullif(bairro, ''), nullif(cep, ''))), '') endereco,
+  select *, nullif(trim(array_to_string(list_filter(
+      [tipo_logradouro, logradouro, numero, complemento, bairro, cep], lambda p: p <> ''), ' ')), '') endereco,
     {date_of('data_inicio_atividade')} abertura, {date_of('data_situacao_cadastral')} situacao
   from est)"""
 
 
+def named_in(table: str, value: str, key: str, wanted: str) -> str:
+    return f"(select max({value}) from {table} where {table}.{key} = {wanted})"
+
+
 def companies(name: str, day: str, branches: bool = False) -> str:
-    offices = "" if branches else "and e.identificador_matriz_filial = '1'"
+    """An active establishment opened in the window, with what its company has on record."""
+    company = "e.cnpj_basico"
+    office = "in ('1', '2')" if branches else "= '1'"
     return f"""
 {name} as (
-  select e.cnpj_basico || e.cnpj_ordem || e.cnpj_dv cnpj, emp.razao_social,
-    nullif(e.nome_fantasia, '') nome_fantasia, e.cnae_fiscal_principal cnae_principal,
-    cna.descricao cnae_descricao, nullif(e.cnae_fiscal_secundaria, '') cnaes_secundarios,
-    e.abertura data_abertura, e.situacao data_situacao, emp.natureza_juridica,
-    nat.descricao natureza_descricao,
-    case when mei.cnpj_basico is not null then 'MEI' when emp.porte = '01' then 'ME'
-      when emp.porte = '03' then 'EPP' when emp.porte = '05' then 'demais' end porte,
-    try_cast(replace(emp.capital_social, ',', '.') as decimal(15, 2)) capital_social,
-    e.municipio municipio_codigo, mun.descricao municipio, e.uf,
-    case when mei.cnpj_basico is null then e.endereco end endereco,
-    mei.cnpj_basico is not null eh_mei
-  from ender e join emp on emp.cnpj_basico = e.cnpj_basico
-    left join mei on mei.cnpj_basico = e.cnpj_basico
-    left join cna on cna.codigo = e.cnae_fiscal_principal
-    left join mun on mun.codigo = e.municipio
-    left join nat on nat.codigo = emp.natureza_juridica
-  where e.situacao_cadastral = '02'
-    and e.abertura between date '{day}' - {WINDOW} and date '{day}' {offices})"""
+  select concat(cnpj_basico, cnpj_ordem, cnpj_dv) cnpj, razao_social,
+    case when nome_fantasia <> '' then nome_fantasia end nome_fantasia,
+    cnae_fiscal_principal cnae_principal,
+    {named_in('cna', 'descricao', 'codigo', 'cnae_fiscal_principal')} cnae_descricao,
+    case when cnae_fiscal_secundaria <> '' then cnae_fiscal_secundaria end cnaes_secundarios,
+    abertura data_abertura, situacao data_situacao, natureza_juridica,
+    {named_in('nat', 'descricao', 'codigo', 'natureza_juridica')} natureza_descricao,
+    case when eh_mei then 'MEI'
+      else map {{'01': 'ME', '03': 'EPP', '05': 'demais'}}[porte] end porte,
+    try_cast(replace(capital_social, ',', '.') as decimal(15, 2)) capital_social,
+    municipio municipio_codigo, {named_in('mun', 'descricao', 'codigo', 'municipio')} municipio,
+    uf, if(eh_mei, null, endereco) endereco, eh_mei
+  from (
+    select *, {company} in (select cnpj_basico from mei) eh_mei,
+      {named_in('emp', 'razao_social', 'cnpj_basico', company)} razao_social,
+      {named_in('emp', 'natureza_juridica', 'cnpj_basico', company)} natureza_juridica,
+      {named_in('emp', 'capital_social', 'cnpj_basico', company)} capital_social,
+      {named_in('emp', 'porte', 'cnpj_basico', company)} porte
+    from ender e
+    where {company} in (select cnpj_basico from emp) and situacao_cadastral = '02'
+      and identificador_matriz_filial {office}
+      and date_diff('day', abertura, date '{day}') between 0 and {WINDOW}))"""
 
 
 def weeks(name: str, source: str, day: str) -> str:
+    """Openings counted by the Monday of their week; a week is whole once its Sunday is in."""
     return f"""
 {name} as (
-  select cast(date_trunc('week', data_abertura) as date) semana, uf, municipio_codigo, municipio,
-    cnae_principal, cnae_descricao, count(*) contagem, date '{day}' data_extracao,
-    cast(date_trunc('week', data_abertura) as date) + 6 > date '{day}' semana_parcial
-  from {source} where data_abertura is not null and uf is not null group by all)"""
+  select segunda semana, uf, municipio_codigo, municipio, cnae_principal, cnae_descricao,
+    count(*) contagem, date '{day}' data_extracao, date_diff('day', segunda, date '{day}') < 6 semana_parcial
+  from (select *, data_abertura - cast(isodow(data_abertura) - 1 as integer) segunda from {source})
+  where segunda is not null and uf is not null group by all)"""
 
 
 AGG = ",".join([TABLES, companies("novas", OLD), weeks("agg", "novas", OLD)])
@@ -225,13 +236,13 @@ from est left join cna on cna.codigo = cnae_fiscal_principal
 sql("weekly_aggregate", AGG, "select * from agg")
 _two = ",".join([AGG, companies("novas2", NEW), weeks("agg2", "novas2", NEW)])
 _merged = """
-select * exclude (rn) from (
-  select *, row_number() over (partition by semana, uf, municipio_codigo, cnae_principal
-    order by {order}data_extracao desc) rn
-  from (select * from agg2 union all by name select * from agg)) where rn = 1"""
-sql("merge_extractions", _two, _merged.format(order=""))
+select unnest(arg_max(linha, vez)) from (
+  select t as linha, t.semana, t.uf, t.municipio_codigo, t.cnae_principal, {turn} vez
+  from (select * from agg2 union all by name select * from agg) t)
+group by semana, uf, municipio_codigo, cnae_principal"""
+sql("merge_extractions", _two, _merged.format(turn="epoch(t.data_extracao)"))
 sql("merge_keeping_left_edge", _two,
-    _merged.format(order=f"(semana < data_extracao - {WINDOW}) asc, "))
+    _merged.format(turn=f"epoch(t.data_extracao) + if(t.semana < t.data_extracao - {WINDOW}, 0, 1e12)"))
 sql("aggregate_summary", AGG, "select count(*) linhas, count(distinct semana) semanas from agg")
 sql("month_total", CELLS, "select cast(coalesce(sum(contagem), 0) as bigint) total from mes")
 
@@ -269,29 +280,31 @@ select slug, uf, cast(sum(contagem) as bigint) n from casa join slugs on codigo
 group by all""")
 
 LQ = f"""
-par as (
-  select uf, cnae_principal, any_value(cnae_descricao) descricao, cast(sum(contagem) as bigint) n
+peso as (
+  select uf, cnae_principal, max(cnae_descricao) descricao, cast(sum(contagem) as bigint) n,
+    sum(sum(contagem)) over (partition by uf) na_uf,
+    cast(sum(sum(contagem)) over (partition by cnae_principal) as bigint) total_setor,
+    sum(sum(contagem)) over () ao_todo
   from casa where cnae_descricao is not null group by uf, cnae_principal),
-tuf as (select uf, sum(n) tuf from par group by uf),
-tcn as (select cnae_principal, sum(n) tcn from par group by cnae_principal),
 lqs as (
-  select par.uf, par.cnae_principal, descricao, n, cast(tcn as bigint) total_setor,
-    (n::double / tuf::double) / (tcn::double / (select sum(n) from par)::double) lq
-  from par join tuf using (uf) join tcn using (cnae_principal)
-  where n >= {A.QUOTIENT_FLOORS[0]} and tcn >= {A.QUOTIENT_FLOORS[1]})"""
+  select uf, cnae_principal, descricao, n, total_setor,
+    (n::double / na_uf::double) / (total_setor::double / ao_todo::double) lq
+  from peso where n >= {A.QUOTIENT_FLOORS[0]} and total_setor >= {A.QUOTIENT_FLOORS[1]})"""
 sql("location_quotient", CELLS + "," + LQ, "select * replace (round(lq, 6) as lq) from lqs")
 
 GROWTH = f"""
 cresc as (
-  select cnae_descricao, a.n agora, b.n antes, 100.0::double * (a.n - b.n) / b.n variacao
-  from (select cnae_descricao, cast(sum(contagem) as bigint) n from mes group by 1) a
-  join (select cnae_descricao, cast(sum(contagem) as bigint) n from ant group by 1) b
-    using (cnae_descricao)
-  where a.n >= {A.GROWTH_FLOOR} and b.n >= {A.GROWTH_FLOOR}
+  select *, 100.0::double * (agora - antes) / antes variacao from (
+    select cnae_descricao,
+      cast(sum(contagem) filter (semana >= date '{MONTH}' and semana < date '{MONTH}' + interval 1 month)
+        as bigint) agora,
+      cast(sum(contagem) filter (semana >= date '{BEFORE}' and semana < date '{MONTH}') as bigint) antes
+    from cel where cnae_descricao is not null group by cnae_descricao)
+  where agora >= {A.GROWTH_FLOOR} and antes >= {A.GROWTH_FLOOR}
   order by variacao desc, cnae_descricao limit 5),
 plaus as (
-  select * from cresc where variacao <= {A.GROWTH_CEILING}
-    or not exists (select 1 from cresc where variacao <= {A.GROWTH_CEILING}))"""
+  select * from cresc
+  where variacao <= {A.GROWTH_CEILING} or (select min(variacao) from cresc) > {A.GROWTH_CEILING})"""
 sql("growth_by_sector", CELLS + "," + GROWTH,
     "select * replace (round(variacao, 6) as variacao) from cresc")
 sql("growth_plausible", CELLS + "," + GROWTH,
@@ -380,11 +393,11 @@ def statement(e: Entry, shortened: bool) -> str:
                    value="n", count="n", highlight=first("n desc, uf"))
     if e.family == "duelo":
         a, b = e.params["uf"], e.params["uf_b"]
-        side = "select cnae_descricao, {0} and uf = '{1}' group by 1 order by n desc, 1 limit {2}"
+        side = "select cnae_descricao, {0} and uf = '{1}' group by 1 order by n desc, 1{2}"
         return row(
             e.key,
-            f"select a.*, coalesce(b.n, 0) n_b from ({side.format(DESCRIBED, a, 5)}) a "
-            f"left join ({side.format(DESCRIBED, b, 200)}) b using (cnae_descricao)",
+            f"select a.*, coalesce(b.n, 0) n_b from ({side.format(DESCRIBED, a, ' limit 5')}) a "
+            f"left join ({side.format(DESCRIBED, b, '')}) b using (cnae_descricao)",
             order="n desc, cnae_descricao", label="cnae_descricao", value="n", other="n_b",
             count="n", detail=detail,
         )
@@ -591,13 +604,26 @@ from ({' union all '.join(caption(e) for e in ENTRIES)})""")
 
 # --- queues ---------------------------------------------------------------------
 
+# Shown and not shown are two lists; an empty second list means a new round.
 sql("next_unused", "", """
-select extracao, fila, posicao, chave from (
-  select *, row_number() over (partition by extracao, fila order by usos, posicao) rn from (
-    select n_name extracao, c_mktsegment fila, c_custkey posicao, c_name chave,
-      (select count(*) from orders where o_custkey = c_custkey) usos
-    from customer join nation on c_nationkey = n_nationkey))
-where rn = 1""")
+with fila as (
+  select n_name extracao, c_mktsegment fila, c_custkey posicao, c_name chave,
+    c_nationkey % 4 estado, c_custkey % 3 k, c_custkey % 50 tarde
+  from customer join nation on c_nationkey = n_nationkey),
+usos as (
+  select *, 1 ciclo from fila
+  where estado = 1 and k <> 0 or estado = 3 or estado = 2 and not (fila = 'BUILDING' and tarde = 0)
+  union all select *, 2 from fila where estado = 3 and k = 1),
+rodada as (select extracao, fila, max(ciclo) ciclo from usos group by all),
+vistos as (
+  select f.extracao, f.fila, f.posicao, f.chave, coalesce(r.ciclo, 1) ciclo,
+    exists (select 1 from usos u where u.extracao = f.extracao and u.fila = f.fila
+      and u.chave = f.chave and u.ciclo = coalesce(r.ciclo, 1)) visto
+  from fila f left join rodada r on r.extracao = f.extracao and r.fila = f.fila)
+select extracao, fila, cast(max(ciclo) + cast(bool_and(visto) as integer) as integer) ciclo,
+  coalesce(min(posicao) filter (not visto), min(posicao)) posicao,
+  coalesce(arg_min(chave, posicao) filter (not visto), arg_min(chave, posicao)) chave
+from vistos group by extracao, fila""")
 
 # --- scalar functions -----------------------------------------------------------
 
@@ -639,16 +665,18 @@ descr as (
   select p_partkey, p_brand, ' Transporte de carga ' || p_size || case p_type
     when 'ECONOMY' then ', exceto ' || p_name || ', municipal'
     when 'LARGE' then ', Exceto ' || p_name || ', municipal.'
-    when 'PROMO' then ' não especificados anteriormente'
-    when 'SMALL' then ', nao especificada anteriormente. '
+    when 'PROMO' then ' não especificados' || chr(160) || 'anteriormente' || chr(160)
+    when 'SMALL' then ', nao especificada anteriormente.' || chr(10)
     else ', municipal' end descricao from part),
-inteira as (select *, rtrim(trim(descricao), '. ') completa from descr),
+vazio as (select ' ' || chr(160) || chr(10) v),
+inteira as (select descr.*, rtrim(trim(descricao, v), '. ') completa from descr, vazio),
 media as (
-  select *, rtrim(trim(regexp_replace(completa,
-    '\s*,?\s*n[ãa]o especificad[oa]s?\s+anteriormente', '', 'gi')), ',. ') media from inteira),
+  select inteira.*, rtrim(trim(regexp_replace(completa,
+    '[\s\x{A0}]*,?[\s\x{A0}]*n[ãa]o especificad[oa]s?[\s\x{A0}]+anteriormente', '', 'gi'), v), ',. ') media
+  from inteira, vazio),
 formas as (
-  select *, rtrim(trim(regexp_replace(media, ',\s*exceto\s+[^,]+', '', 'gi')), ',. ') curta
-  from media)"""
+  select media.*, rtrim(trim(regexp_replace(media, ',[\s\x{A0}]*exceto[\s\x{A0}]+[^,]+', '', 'gi'), v), ',. ') curta
+  from media, vazio)"""
 sql("label_variants", PARTS, "select p_partkey, curta, media, completa from formas")
 sql("distinct_labels", PARTS, """
 , um as (select distinct p_brand, descricao, curta, media, completa from formas),
@@ -709,13 +737,17 @@ select matrizes, filiais, round(matrizes / 3::double, 6) matrizes_mes,
     then 100::double * filiais / (matrizes + filiais) end, 6) pct_filiais
 from tipos""")
 SHARE = """
-select uf, count(*) n, 100::double * count(*) / sum(count(*)) over () pct
-from novas group by uf order by n desc, uf limit 8"""
-sql("state_share", NOVAS, f"select * replace (round(pct, 6) as pct) from ({SHARE})")
+select distinct uf, count(*) over (partition by uf) n,
+  100::double * count(*) over (partition by uf) / count(*) over () pct
+from novas"""
+LEADERS = f"select * from ({SHARE}) order by n desc, uf limit 8"
+sql("state_share", NOVAS, f"select * replace (round(pct, 6) as pct) from ({LEADERS})")
 RECENT = f"""
-select cast(date_trunc('week', data_abertura) as date) semana, count(*) n,
-  cast(date_trunc('week', data_abertura) as date) + 6 > date '{OLD}' parcial
-from novas group by all order by 1 desc limit 6"""
+select semana, len(abertas) n, date_diff('day', semana, date '{OLD}') < 6 parcial from (
+  select semana, list(data_abertura) abertas from (
+    select data_abertura, data_abertura - cast(isodow(data_abertura) - 1 as integer) semana from novas)
+  group by semana)
+order by semana desc limit 6"""
 sql("recent_weeks", NOVAS, RECENT)
 SPOT = """
 select cnpj, razao_social, data_abertura, uf, municipio, cnae_descricao,
@@ -736,7 +768,7 @@ union all select 'branches', 'estabelecimentos', cast(filiais as varchar),
   {comma('100::double * filiais / (matrizes + filiais)')} || '%', 'soft', true from tipos
 union all select 'leading_share', '{A.LEADER}', {comma('p')}, '{_low:g}-{_high:g}', 'soft',
   p between {_low} and {_high}
-  from (select coalesce(max(case when uf = '{A.LEADER}' then pct end), 0::double) p from ({SHARE}))
+  from (select coalesce(max(pct) filter (uf = '{A.LEADER}'), 0::double) p from ({SHARE}))
 union all select 'recent_week', cast(semana as varchar), cast(n as varchar),
   case when parcial then 'partial' else 'whole' end, 'soft', true from ({RECENT})
 union all select 'spot_sample', cnpj_formatado,

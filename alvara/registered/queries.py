@@ -438,15 +438,27 @@ def caption_length(a: Analog) -> DataFrame:
 
 @registered
 def next_unused(a: Analog) -> DataFrame:
-    """Customers queue up per nation and segment; an order is a use."""
+    """Customers queue up per nation and segment.
+
+    By nation, queues are fresh, partly used, used up but for late entries in one
+    segment, and in their second cycle.
+    """
     people = a.table("customer").join(
         a.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    queue = [F.col("n_name").alias("extracao"), F.col("c_mktsegment").alias("fila")]
-    entries = people.select(*queue, F.col("c_custkey").alias("posicao"), F.col("c_name").alias("chave"))
-    used = a.table("orders").join(people, F.col("o_custkey") == F.col("c_custkey")).select(
-        *queue, F.col("c_name").alias("chave")
-    )
+    entries = people.select(
+        F.col("n_name").alias("extracao"), F.col("c_mktsegment").alias("fila"),
+        F.col("c_custkey").alias("posicao"), F.col("c_name").alias("chave"),
+        (F.col("c_nationkey") % 4).alias("_state"),
+    )
+    late = (F.col("fila") == "BUILDING") & (F.col("posicao") % 50 == 0)
+    part = F.col("posicao") % 3
+    first = entries.where(
+        ((F.col("_state") == 1) & (part != 0)) | (F.col("_state") == 3)
+        | ((F.col("_state") == 2) & ~late)
+    ).withColumn("ciclo", F.lit(1))
+    second = entries.where((F.col("_state") == 3) & (part == 1)).withColumn("ciclo", F.lit(2))
+    used = first.unionByName(second).select("extracao", "fila", "ciclo", "chave")
     return picks.next_unused(entries, used)
 
 
@@ -536,8 +548,8 @@ def _descriptions(a: Analog) -> DataFrame:
     tail = (
         F.when(kind == "ECONOMY", F.concat(F.lit(", exceto "), "p_name", F.lit(", municipal")))
         .when(kind == "LARGE", F.concat(F.lit(", Exceto "), "p_name", F.lit(", municipal.")))
-        .when(kind == "PROMO", F.lit(" não especificados anteriormente"))
-        .when(kind == "SMALL", F.lit(", nao especificada anteriormente. "))
+        .when(kind == "PROMO", F.lit(" não especificados\u00a0anteriormente\u00a0"))
+        .when(kind == "SMALL", F.lit(", nao especificada anteriormente.\n"))
         .otherwise(F.lit(", municipal"))
     )
     body = F.concat(F.lit(" Transporte de carga "), F.col("p_size").cast("string"), tail)

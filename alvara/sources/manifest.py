@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +23,8 @@ MANIFEST = T.StructType([
     T.StructField("total_bytes", T.LongType()),
 ])
 
-# A row of a binary file cannot exceed 2 GiB; larger files are listed without hash.
-HASH_LIMIT = 1 << 30
+#: Bytes of an archive that a task holds while hashing it.
+HASH_CHUNK = 16 << 20
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -35,17 +41,31 @@ def listing(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     )
 
 
+def _hashes(chunk: int):
+    """SHA-256 of whole files, read in pieces: a row could not hold a large archive."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                system, name = FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                digest = hashlib.sha256()
+                with system.open_input_stream(name, buffer_size=0) as stream:
+                    while part := stream.read(chunk):
+                        digest.update(part)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.string())], ["path", "bytes", "sha256"])
+    return run
+
+
 def hashed_listing(spark: SparkSession, path: str, glob: str = "*.zip",
-                   hash_limit: int = HASH_LIMIT) -> DataFrame:
-    """The same with SHA-256, which only files up to ``hash_limit`` bytes get."""
+                   chunk: int = HASH_CHUNK) -> DataFrame:
+    """The same with SHA-256 of every file, whatever its size, one task for each."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    name = F.element_at(F.split("path", "/"), -1).alias("nome")
-    size = F.col("length").alias("bytes")
-    small = files.where(F.col("length") <= hash_limit)
-    large = files.where(F.col("length") > hash_limit)
-    return small.select(name, size, F.sha2("content", 256).alias("sha256")).unionByName(
-        large.select(name, size, F.lit(None).cast("string").alias("sha256"))
-    )
+    listed = files.select("path", F.col("length").alias("bytes"))
+    spread = listed.repartition(max(1, listed.count()), "path")
+    hashed = spread.mapInArrow(_hashes(chunk), "path string, bytes long, sha256 string")
+    return hashed.select(F.element_at(F.split("path", "/"), -1).alias("nome"), "bytes", "sha256")
 
 
 def build(files: DataFrame, extraction: str, base_url: str) -> DataFrame:

@@ -45,7 +45,6 @@ def test_abroad_counts_in_some_rankings_only(spark):
     assert rows(rankings.top_states(d), "uf", "n") == [("EX", 9), ("RJ", 5), ("SP", 5)]
     assert rows(rankings.sector_top_states(d, ["1"]), "uf") == [("EX",), ("RJ",), ("SP",)]
     assert rows(rankings.state_totals(d), "uf") == [("RJ",), ("SP",)]
-    assert rows(rankings.sector_state_totals(d, ["1"]), "uf") == [("RJ",), ("SP",)]
     assert rankings.month_total(d).first().total == 19
 
 
@@ -73,6 +72,8 @@ def test_growth_floor_limit_ceiling_and_fallback(spark):
     kept = measures.plausible_growth(growth).orderBy(F.col("variacao").desc())
     assert rows(kept, "cnae_descricao") == [("good",), ("flat",)]
     assert measures.plausible_growth(growth, -1).count() == 3
+    assert rows(measures.growth_by_sector(d, limit=1, ceiling=200), "cnae_descricao") == [("good",)]
+    assert measures.plausible_growth(growth.where("false")).count() == 0
 
 
 def test_location_quotients_take_totals_before_floors(spark):
@@ -111,13 +112,6 @@ def test_per_capita_drops_small_and_unknown_states(spark):
     assert found["AC"] == 20 * 100_000 / 830_018
 
 
-def test_ratio_needs_a_large_denominator(spark):
-    d = openings(spark, [june("SP", "bar", 90), june("SP", "gym", 30), june("AC", "bar", 30),
-                         june("AC", "gym", 2), june("RJ", "gym", 50), june("EX", "gym", 50)])
-    found = measures.ratio_by_state(d, ["bar"], ["gym"], 15)
-    assert rows(found, "uf", "n_num", "n_den", "razao") == [("SP", 90, 30, 3.0)]
-
-
 def test_trend_line(spark):
     points = spark.createDataFrame(
         [("a", 1.0, 3.0), ("a", 2.0, 5.0), ("a", 4.0, 9.0), ("b", 2.0, 1.0), ("c", 1.0, 1.0),
@@ -127,8 +121,6 @@ def test_trend_line(spark):
     assert (line.inclinacao, line.intercepto) == (pytest.approx(2), pytest.approx(1))
     assert (line.y_min, line.y_max) == (pytest.approx(3), pytest.approx(9))
     assert found["b"].inclinacao is None and found["c"].inclinacao is None
-    d = openings(spark, [june("SP", "x", 2), june("SP", "y", 3), june("RJ", "x", 1)])
-    assert rows(measures.paired_sectors(d, ["x"], ["y"]), "uf", "x", "y") == [("SP", 2, 3)]
 
 
 def walk(candidates, keep=8):
@@ -174,19 +166,34 @@ def test_queues_rotate_restart_and_reset(spark, tmp_path):
          for q, size in (("novo", 3), ("classico", 2)) for i in range(1, size + 1)],
         "extracao string, fila string, posicao int, chave string")
     root = str(tmp_path / "state")
-    used = spark.createDataFrame([], picks.USED)
+    used = picks.read_uses(spark, root)
     seen = []
     for _ in range(7):
         chosen = picks.next_unused(entries.where("extracao = '2026-06-13'"), used)
         seen.append({r.fila: r.chave for r in chosen.collect()})
         picks.record_use(chosen, root)
-        used = spark.read.schema(picks.USED).parquet(root)
+        used = picks.read_uses(spark, root)
     assert [s["novo"] for s in seen] == ["novo1", "novo2", "novo3"] * 2 + ["novo1"]
     assert [s["classico"] for s in seen] == ["classico1", "classico2"] * 3 + ["classico1"]
     fresh = picks.next_unused(entries, used).where("extracao = '2026-07-11'")
     assert set(rows(fresh, "chave")) == {("novo1",), ("classico1",)}
 
 
+def test_a_late_entry_is_shown_once(spark):
+    uses = [("x", "novo", c, k) for c, k in ((1, "a"), (1, "b"), (2, "a"), (2, "b"))]
+    queue = [("x", "novo", 1, "a"), ("x", "novo", 2, "b"), ("x", "novo", 3, "late")]
+    entries = spark.createDataFrame(queue, "extracao string, fila string, posicao int, chave string")
+    used = spark.createDataFrame(uses, picks.USED)
+    assert rows(picks.next_unused(entries, used), "ciclo", "chave") == [(2, "late")]
+    used = spark.createDataFrame([*uses, ("x", "novo", 2, "late")], picks.USED)
+    assert rows(picks.next_unused(entries, used), "ciclo", "chave") == [(3, "a")]
+
+
+def test_a_ranking_of_everything_is_refused(spark):
+    with pytest.raises(ValueError):
+        rankings.ranked(spark.range(3), "id", "id")
+
+
 def test_queue_files(spark, tmp_path):
     (tmp_path / "s.json").write_text(
         '{"data_extracao": "2026-07-11",\n "usados": {"novo": ["a", "b"], "classico": []}}')

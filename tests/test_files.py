@@ -186,8 +186,13 @@ def test_manifest_roundtrip(spark, tmp_path):
     (tmp_path / "B.zip").write_bytes(b"ZIP of B.zip")
     changed = quality.archive_hashes(read, manifest.hashed_listing(spark, str(tmp_path)))
     assert {r.subject: r.ok for r in changed.collect()} == {"A.zip": True, "B.zip": False}
-    unhashed = manifest.hashed_listing(spark, str(tmp_path), hash_limit=0)
-    assert {r.sha256 for r in unhashed.collect()} == {None} and unhashed.count() == 2
+    in_pieces = manifest.hashed_listing(spark, str(tmp_path), chunk=5)
+    assert {r.nome: r.sha256 for r in in_pieces.collect()}["A.zip"] == entries[0]["sha256"]
+    bare = quality.archive_hashes(read.withColumn("sha256", F.lit(None).cast("string")), hashed)
+    assert not any(r.ok for r in bare.collect())
+    (tmp_path / "B.zip").unlink()
+    gone = quality.archive_hashes(read, manifest.hashed_listing(spark, str(tmp_path)))
+    assert {r.subject: (r.observed, r.ok) for r in gone.collect()}["B.zip"] == ("not on disk", False)
 
 
 def test_complete_load_finds_each_fault(spark):
@@ -316,3 +321,12 @@ def test_aggregate_files_are_sorted_and_measured(spark, tmp_path):
     assert tuple(aggregate_store.summary(stored).first()) == (500, 5)
     with pytest.raises(ValueError):
         aggregate_store.open_aggregate(spark, str(tmp_path / "nowhere"))
+
+
+def test_a_dump_without_manifest_fails_a_rule(spark, tmp_path):
+    places = monthly.Places(*[str(tmp_path / x) for x in ("zips", "raw", "work", "agg")])
+    (tmp_path / "zips" / "2026-06").mkdir(parents=True)
+    rule, = monthly.file_rules(spark, places, "2026-06")
+    assert [(r.rule, r.severity, r.ok) for r in rule.collect()] == [("manifest", "hard", False)]
+    with pytest.raises(quality.QualityError, match="manifest"):
+        quality.enforce(rule)

@@ -158,3 +158,25 @@ def test_capitalised(spark):
 def test_description_key(spark):
     assert one(spark, "Comércio varejista de artigos, exceto", text.description_key) == \
         "comércio varejista de artigos"[:22]
+
+
+def test_blanks_and_line_ends_as_in_python(spark):
+    assert one(spark, "Comercio de pecas,\n acessorios e mais", lambda v: text.shorten(v, 20)) == "Comercio de pecas,\n…"
+    spaced = "\xa0Transporte de carga não especificados\xa0anteriormente.\xa0"
+    assert one(spark, spaced, text.clean_label) == "Transporte de carga"
+    assert one(spark, "\x1cBar, exceto\xa0de luxo\x85", text.clean_label) == "Bar"
+
+
+def test_a_missing_caption_fails(spark):
+    from alvara.operators import quality
+
+    frame = spark.createDataFrame([("a", None, "x"), ("b", "t", "x")], "chave string, texto string, alt string")
+    assert {r.chave: r.ok for r in quality.caption_lengths(frame).collect()} == {"a": False, "b": True}
+
+
+def test_the_leaders_share_counts_below_the_first_eight(spark):
+    from alvara.operators import quality
+
+    states = [(f"S{k}",) for k in range(9) for _ in range(2)] + [("SP",)]
+    rule, = quality.state_share_rules(spark.createDataFrame(states, "uf string"), "SP", (5, 6)).collect()
+    assert rule.ok and rule.observed == "5,3"
