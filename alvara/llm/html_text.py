@@ -8,7 +8,7 @@ its slots as lists. A class is valid on a page if its tokens come in the templat
 order; others are skipped there. Slots are what lies between matched root tokens, and
 the root tags that are open around a slot say what it is. The text of the article's
 slots is the result; where no root tag names an article, it is that of all slots that
-aren't named as something else, without texts of the template and lists of links.
+aren't named as something else, without lists of links and blocks of nothing but the template's texts.
 
 Vectors are compared by a digest that is summed over pages, so a host with any number
 of pages is folded before the shuffle, and nothing of a host is gathered but its
@@ -149,21 +149,23 @@ def article_text(html: str | None, root: list[str], lists: list[str]) -> str:
         t.article and not t.closes for t in page if t.name)
     blocks, block, open_, count = [], [], [], Counter()
     inside = skipped = linked = 0
+    own = False  # whether the block holds any text beside the template's
 
     def end() -> None:
-        nonlocal block
+        nonlocal block, own
         text = " ".join("".join(block).split())
-        if text:
+        if text and own:
             blocks.append(text)
-        block = []
+        block, own = [], False
 
     for at, token in enumerate(page):
         name = token.name
         if name is None:
             if not token.text or skipped or (named and not inside):
                 continue
-            if not named and (at in fixed or linked):
-                continue  # text of the template, or of a list of links
+            if not named and linked:
+                continue  # a list of links
+            own = own or named or at not in fixed and not token.text.isspace()
             block.append(token.text)
             continue
         if name not in INLINE:
