@@ -19,15 +19,15 @@ FILE_DATE = r"\.D(\d)(\d{2})(\d{2})\."
 
 
 def unbalanced_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Per shard, the number of lines with an odd count of quote characters.
+    """Per shard, the number of lines that are no whole record or hold a carriage return.
 
     When it is zero every record ends at its line end, and Spark may split the
     shard at any line. Otherwise a quoted value spans lines.
     """
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    lines = spark.read.option("pathGlobFilter", glob).text(path, lineSep="\n")
     return (
         lines.select(
-            F.col("_metadata.file_path").alias("file"), spanning.odd_quotes("value").alias("odd")
+            F.col("_metadata.file_path").alias("file"), spanning.needs_joining("value").alias("odd")
         )
         .groupBy("file").agg(F.sum("odd").cast("long").alias("odd_lines"))
     )
@@ -83,13 +83,12 @@ def control_counts(raw: DataFrame, columns: list[str], source: Column) -> DataFr
 
 
 def raw_control_counts(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
-    """The same, straight from the shards of one table."""
+    """The same, from the raw lines of one table's shards: rows of any width count."""
     spec = layout.tables[table]
-    raw = (
-        spark.read.schema(spec.schema).options(**layout.csv)
-        .option("pathGlobFilter", spec.glob).csv(path)
-    )
-    return control_counts(raw, list(spec.columns), F.col("_metadata.file_name"))
+    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n")
+    raw = lines.select(F.decode(F.col("value").cast("binary"), layout.csv["encoding"]).alias("line"),
+                       F.col("_metadata.file_name").alias("file"))
+    return control_counts(raw, ["line"], F.col("file"))
 
 
 def extraction_dates(files: DataFrame) -> DataFrame:

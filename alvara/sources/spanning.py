@@ -1,6 +1,7 @@
 """Records whose quoted values span lines, without reading a shard in one task.
 
-A line begins a record when an even number of quote characters precedes it in its
+Lines end at a line feed and nowhere else: what a value holds stays as it is, carriage
+returns too. A line begins a record when an even number of quote characters precedes it in its
 shard. Splits count their own quotes; a running sum over the few splits of a shard
 tells each split whether it begins inside a value and how many records came before.
 Only the lines of spanning records are brought together.
@@ -23,9 +24,21 @@ def odd_quotes(line: str | Column) -> Column:
     return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2
 
 
+def without_return(line: str | Column) -> Column:
+    """The line without the one carriage return that belongs to its end."""
+    line = F.col(line) if isinstance(line, str) else line
+    return F.when(F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)).otherwise(line)
+
+
+def needs_joining(line: str) -> Column:
+    """1 where a line is no whole record, or has a carriage return that ends no line."""
+    inside = F.contains(without_return(line), F.lit("\r")).cast("int")
+    return F.greatest(odd_quotes(line), inside)
+
+
 def lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
     """Lines with their place: shard, first byte of the split, order in the split."""
-    return spark.read.text(list(paths)).select(
+    return spark.read.text(list(paths), lineSep="\n").select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -66,7 +79,9 @@ def records(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFra
         .otherwise(F.col("begun_1")),
     })
     alone = F.col("begins") & (F.col("odd") == 0)
-    single = placed.where(alone & (F.trim("line") != "")).select("file", F.col("line").alias("record"))
+    single = placed.where(alone & (F.trim(without_return("line")) != "")).select(
+        "file", without_return("line").alias("record")
+    )
     parts = placed.where(~alone)
     fits = (
         parts.groupBy("path", "number").agg(F.sum(F.length("line") + 1).alias("size"))
@@ -81,4 +96,4 @@ def records(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFra
         F.max("file").alias("file"),
         F.array_join(F.transform(ordered, lambda part: part["line"]), "\n").alias("record"),
     )
-    return single.unionByName(joined.select("file", "record"))
+    return single.unionByName(joined.select("file", without_return("record").alias("record")))

@@ -47,6 +47,12 @@ def test_control_characters_become_question_marks_and_are_counted(spark, tmp_pat
     assert [(c.file[-9:], c.replaced) for c in counts] == [("3.CNAECSV", 2)]
 
 
+def test_control_characters_of_a_row_that_is_too_wide_count(spark, tmp_path):
+    shard(tmp_path, "cnaes", ['"1";"\x85";"\x86\x87"'])
+    counts = registry_csv.raw_control_counts(spark, str(tmp_path), "cnaes", LAYOUT).collect()
+    assert [r.replaced for r in counts] == [3]
+
+
 def test_values_that_span_lines(spark, tmp_path):
     shard(tmp_path, "cnaes", ['"1";"first\nsecond;still"', '"2";"b"'])
     shard(tmp_path, "cnaes", ['"3";"c"'], number=1)
@@ -57,6 +63,20 @@ def test_values_that_span_lines(spark, tmp_path):
     assert scan(spark, tmp_path) == [("1", "first\nsecond;still"), ("2", "b"), ("3", "c")]
 
 
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [7, 31, 1 << 20])
+def test_line_breaks_inside_values_stay(spark, tmp_path, ending, split):
+    values = [("1", "a\r\nb"), ("2", "c\rd"), ("3", "e\nf"), ("4", "plain"), ("5", "g\r"), ("6", "\r\n\r\n")]
+    with open(tmp_path / "F.CNAECSV", "w", encoding="latin-1", newline="") as f:
+        csv.writer(f, delimiter=";", quoting=csv.QUOTE_ALL, lineterminator=ending).writerows(values)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        assert scan(spark, tmp_path) == sorted(values)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @pytest.mark.parametrize("seed, split", [(1, 40), (2, 97), (3, 1 << 20)])
 def test_records_may_cross_splits(spark, tmp_path, seed, split):
     dice = random.Random(seed)
