@@ -300,20 +300,36 @@ def aggregate_size(bytes_frame: DataFrame, limit: int = AGGREGATE_WARNING_BYTES)
     ))
 
 
-def caption_lengths(captions: DataFrame) -> DataFrame:
-    """Captions (``chave, texto, alt``) against the limits of where they appear.
+def with_lengths(captions: DataFrame) -> DataFrame:
+    """Captions (``texto, alt``) with their lengths and whether both keep the limits.
 
     A missing text or description fails.
     """
+    fits = (F.length("texto") <= TEXT_LIMIT) & (F.length("alt") <= ALT_LIMIT)
     return captions.select(
-        "chave",
-        F.length("texto").alias("n_texto"), F.length("alt").alias("n_alt"),
-        F.coalesce(
-            (F.length("texto") <= TEXT_LIMIT) & (F.length("alt") <= ALT_LIMIT), F.lit(False)
-        ).alias("ok"),
+        "*", F.length("texto").alias("n_texto"), F.length("alt").alias("n_alt"),
+        F.coalesce(fits, F.lit(False)).alias("ok"),
     )
 
 
+def caption_lengths(captions: DataFrame) -> DataFrame:
+    """The lengths alone: ``chave, n_texto, n_alt, ok``."""
+    return with_lengths(captions).select("chave", "n_texto", "n_alt", "ok")
+
+
+def caption_status(captions: DataFrame) -> DataFrame:
+    """Captions with ``status``: ``too_long`` (or missing) is not to be delivered."""
+    checked = with_lengths(captions)
+    return checked.withColumn("status", F.when(F.col("ok"), "ok").otherwise("too_long"))
+
+
+def control_rules(counts: DataFrame) -> DataFrame:
+    """How many control characters each file (``file, replaced``) held; they became ``?``."""
+    return _rows(counts, rule_row(
+        "control_characters", F.col("file"), F.col("replaced"), 0, SOFT, F.lit(False)
+    ))
+
+
 def report(companies: DataFrame, raw: Mapping[str, DataFrame], extraction: dt.date,
            files: Iterable[DataFrame] = (), days: int = WINDOW_DAYS,
            bounds: tuple[int, int] = MONTHLY_BOUNDS, leader: str = LEADING_STATE,

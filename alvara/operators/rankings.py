@@ -122,6 +122,14 @@ def state_totals(d: Openings, month: dt.date | None = None) -> DataFrame:
     return _top(cells.groupBy("uf").agg(total().alias("n")), "uf", None)
 
 
+def with_totals(states: DataFrame, key: str) -> DataFrame:
+    """The first states of each ``key``, the total of those shown and of all states."""
+    whole = states.groupBy(key).agg(F.sum("n").alias("total_nacional"))
+    top = ranked(states, "n", "uf", [key], TOP)
+    shown = top.groupBy(key).agg(F.sum("n").alias("total_mostrado"))
+    return top.join(shown, key).join(whole, key)
+
+
 def sector_states(d: Openings, codes: DataFrame, key: Sequence[str],
                   month: dt.date | None = None, abroad: bool = False) -> DataFrame:
     """Openings per ``key`` and state, for all sectors of ``codes`` at once.

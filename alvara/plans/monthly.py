@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,9 @@ class Places:
     def companies(self, extraction: str) -> str:
         return f"{self.work}/new_companies/extracao={extraction}"
 
+    def report(self, extraction: str) -> str:
+        return f"{self.work}/report/extracao={extraction}"
+
 
 def file_rules(spark: SparkSession, places: Places, extraction: str,
                verify_hashes: bool = False) -> list[DataFrame]:
@@ -61,6 +65,16 @@ def file_rules(spark: SparkSession, places: Places, extraction: str,
     ]
 
 
+def control_rules(spark: SparkSession, places: Places, extraction: str) -> DataFrame:
+    """Replaced control characters of every shard that has any."""
+    layout = layout_for(extraction)
+    return quality.control_rules(reduce(DataFrame.unionByName, [
+        registry_csv.raw_control_counts(
+            spark, f"{places.raw}/{extraction}/{table}", table, layout)
+        for table in layout.tables
+    ]))
+
+
 def write_companies(raw: Mapping[str, DataFrame], extraction: dt.date, target: str,
                     include_branches: bool = False) -> DataFrame:
     """The new companies as Parquet, read back with their own schema."""
@@ -77,7 +91,8 @@ def run_month(spark: SparkSession, places: Places, extraction: str,
     """One extraction from shards to a published aggregate version.
 
     File rules gate the staging and data rules gate the aggregate: whatever
-    fails, the published version stays as it was.
+    fails, the published version stays as it was. The data rules, the control
+    characters of each shard and the size of the new version are stored as a report.
     """
     tuned(spark, shuffle_bytes)
     for rules in file_rules(spark, places, extraction, verify_hashes):
@@ -93,10 +108,17 @@ def run_month(spark: SparkSession, places: Places, extraction: str,
         raise
     day = registry_csv.extraction_date(spark, f"{places.raw}/{extraction}", extraction)
     companies = write_companies(raw, day, places.companies(extraction), include_branches)
-    quality.enforce(quality.report(companies, raw, day, bounds=bounds))
+    report = places.report(extraction)
+    quality.report(
+        companies, raw, day, [control_rules(spark, places, extraction)], bounds=bounds
+    ).write.mode("overwrite").parquet(report)
+    quality.enforce(spark.read.parquet(report))
     merged = merge_extractions(
         weekly_aggregate(companies, day),
         aggregate_store.current(spark, places.aggregate), left_edge,
         settled_before=first_week(day),
     )
-    return aggregate_store.publish(merged, places.aggregate)
+    version = aggregate_store.publish(merged, places.aggregate)
+    size = aggregate_store.stored_bytes(aggregate_store.current(spark, places.aggregate))
+    quality.aggregate_size(size).write.mode("append").parquet(report)
+    return version

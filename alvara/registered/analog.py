@@ -13,7 +13,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.companies import new_companies, window_start
+from ..operators.companies import new_companies
 from ..operators.weekly import weekly_aggregate
 from ..plans.catalogue import HERO_CODES, Settings
 from ..session import materialise, run_dir
@@ -112,22 +112,11 @@ class Analog:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cache
-    def establishments(self, opened: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-        """All establishments, or those that orders of a date range stand for.
-
-        With ``opened`` only orders dated in that range are read. An
-        establishment's opening date is its order's date (or unreadable), so a
-        filter on the window keeps the very same rows, and the range reaches the
-        scan of the orders.
-        """
-        orders = self.table("orders")
-        if opened:
-            orders = orders.where(
-                F.col("o_orderdate").between(*[F.lit(day).cast("timestamp_ntz") for day in opened])
-            )
+    def establishments(self) -> DataFrame:
+        """All establishments; what the window leaves out is the operators' business."""
         joined = (
             self.table("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -223,9 +212,9 @@ class Analog:
         )
         return materialise(people, "population")
 
-    def raw(self, opened: tuple[dt.date, dt.date] | None = None) -> dict[str, DataFrame]:
+    def raw(self) -> dict[str, DataFrame]:
         return {
-            "estabelecimentos": self.establishments(opened),
+            "estabelecimentos": self.establishments(),
             "empresas": self.companies(),
             "simples": self.simples(),
             "cnaes": self.sectors(),
@@ -235,8 +224,7 @@ class Analog:
 
     @cache
     def new_companies(self, extraction: dt.date = EXTRACTION, branches: bool = False) -> DataFrame:
-        window = (window_start(extraction), extraction)
-        return new_companies(self.raw(window), extraction, branches)
+        return new_companies(self.raw(), extraction, branches)
 
     @cache
     def weekly(self, extraction: dt.date = EXTRACTION) -> DataFrame:

@@ -355,12 +355,7 @@ def sector_spotlight(a: Analog) -> DataFrame:
     """Top states per sector, the total of those shown and the national total."""
     codes = dimensions.sector_codes(a.spark, analog.BRAND_SECTORS)
     states = rankings.sector_states(a.openings(), codes, ["slug"], abroad=True)
-    national = states.groupBy("slug").agg(F.sum("n").alias("total_nacional"))
-    top = rankings.ranked(states, "n", "uf", ["slug"], rankings.TOP)
-    shown = top.groupBy("slug").agg(F.sum("n").alias("total_mostrado"))
-    return top.join(shown, "slug").join(national, "slug").withColumn(
-        "destaque", F.col("posicao") == 1
-    )
+    return rankings.with_totals(states, "slug").withColumn("destaque", F.col("posicao") == 1)
 
 
 @registered
@@ -431,9 +426,7 @@ def caption_length(a: Analog) -> DataFrame:
     """Every caption of the catalogue, its length and the verdict on it."""
     entries = catalogue.as_frame(a.spark, catalogue.catalogue(analog.SETTINGS))
     written = caption_plans.captions(_all_cuts(a), entries, a.openings(), analog.SETTINGS)
-    return written.select("chave", "texto", "alt", "credito").join(
-        quality.caption_lengths(written), "chave"
-    )
+    return quality.with_lengths(written.select("chave", "texto", "alt", "credito"))
 
 
 @registered

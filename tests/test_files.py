@@ -288,6 +288,9 @@ def test_two_months_end_to_end(spark, tmp_path):
     first = aggregate_store.open_aggregate(spark, places.aggregate)
     assert first.month == dt.date(2026, 5, 1)
     assert first.cells.agg(F.sum("contagem")).first()[0] == 60
+    report = {r.rule: r for r in spark.read.parquet(places.report("2026-06")).collect()}
+    assert report["magnitude"].ok and report["aggregate_size"].ok
+    assert "control_characters" not in report
     kept = spark.read.parquet(places.companies("2026-06"))
     assert kept.columns == companies.ALLOWED_COLUMNS
     assert {r.nome_fantasia for r in kept.select("nome_fantasia").collect()} == {'"BAR"'}

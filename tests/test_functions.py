@@ -172,6 +172,7 @@ def test_a_missing_caption_fails(spark):
 
     frame = spark.createDataFrame([("a", None, "x"), ("b", "t", "x")], "chave string, texto string, alt string")
     assert {r.chave: r.ok for r in quality.caption_lengths(frame).collect()} == {"a": False, "b": True}
+    assert {r.chave: r.status for r in quality.caption_status(frame).collect()} == {"a": "too_long", "b": "ok"}
 
 
 def test_the_leaders_share_counts_below_the_first_eight(spark):

@@ -5,6 +5,9 @@ import os
 import pytest
 from compare import compare, duck
 
+from alvara.operators.companies import new_companies
+from alvara.operators.weekly import weekly_aggregate
+from alvara.registered.analog import EXTRACTION, Analog
 from alvara.registered.oracle import ORACLE
 from alvara.registered.queries import QUERIES
 
@@ -38,12 +41,16 @@ def test_no_broadcast_is_needed(unhinted, name):
         assert operator not in plan
 
 
-def test_filters_and_columns_reach_the_scans(spark):
+def test_filters_and_columns_reach_the_scans(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    plan = QUERIES["weekly_aggregate"](spark, FOLDER)._jdf.queryExecution().executedPlan()
-    text = plan.toString()
-    assert "GreaterThanOrEqual(o_orderdate,2000-04-16T00:00)" in text
-    assert "l_extendedprice" not in text and "p_name" not in text
+    raw = Analog(spark, FOLDER).raw()
+    raw["estabelecimentos"].write.parquet(str(tmp_path / "sites"))
+    raw["estabelecimentos"] = spark.read.parquet(str(tmp_path / "sites"))
+    found = weekly_aggregate(new_companies(raw, EXTRACTION), EXTRACTION)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(situacao_cadastral,02)" in text
+    assert "GreaterThanOrEqual(data_inicio_atividade,20000416)" in text
+    assert "l_extendedprice" not in text and "logradouro" not in text and "nome_fantasia" not in text
     cells = QUERIES["top_states"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(semana,2000-06-01), LessThan(semana,2000-07-01)" in cells
     assert "ReadSchema: struct<semana:date,uf:string,contagem:bigint,semana_parcial:boolean>" in cells
