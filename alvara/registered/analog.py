@@ -236,3 +236,10 @@ class Analog:
         root = run_dir(self.spark, "aggregate")
         aggregate_store.publish(self.weekly(), root)
         return aggregate_store.open_aggregate(self.spark, root)
+
+
+def forget() -> None:
+    """Drop what was built for earlier calls, so that the next one does all its work."""
+    for part in vars(Analog).values():
+        if hasattr(part, "cache_clear"):
+            part.cache_clear()
