@@ -50,7 +50,7 @@ def file_rules(spark: SparkSession, places: Places, extraction: str,
             raise
         return [quality.missing_manifest(spark, f"{folder}/manifest.json")]
     present = manifest.listing(spark, folder)
-    expected = spark.createDataFrame([(n,) for n in layout.expected_archives()], "nome string")
+    expected = spark.createDataFrame([(n,) for n in layout.archives], "nome string")
     forbidden = spark.createDataFrame([(n,) for n in layout.forbidden], "nome string")
     return [
         quality.complete_load(expected, recorded, present),

@@ -30,12 +30,15 @@ class Layout:
     forbidden: tuple[str, ...]
     csv: dict[str, str] = field(default_factory=dict)
 
-    def expected_archives(self) -> list[str]:
-        names = [name for table in self.tables.values() for name in table.archives]
-        leaked = set(names) & set(self.forbidden)
-        if leaked:
-            raise ValueError(f"forbidden files in the layout: {sorted(leaked)}")
-        return names
+    def __post_init__(self) -> None:
+        """No layout that reads a forbidden file can be made at all."""
+        for name in self.forbidden:
+            if any(name in table.archives for table in self.tables.values()):
+                raise ValueError(f"{name} may not be read")
+
+    @property
+    def archives(self) -> list[str]:
+        return [name for table in self.tables.values() for name in table.archives]
 
 
 def _numbered(stem: str, count: int = 10) -> tuple[str, ...]:

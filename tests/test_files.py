@@ -228,10 +228,9 @@ def test_complete_load_finds_each_fault(spark):
 
 
 def test_layout_refuses_forbidden_files():
-    leaking = Layout(LAYOUT.tables, ("Empresas3.zip",))
-    with pytest.raises(ValueError):
-        leaking.expected_archives()
-    assert len(LAYOUT.expected_archives()) == 24
+    with pytest.raises(ValueError, match="Empresas3.zip"):
+        Layout(LAYOUT.tables, ("Empresas3.zip",))
+    assert len(LAYOUT.archives) == 24
     assert layout_for("2031-01") is LAYOUT and layout_for("2020-01") is LAYOUT
 
 
@@ -256,7 +255,7 @@ def test_forbidden_file_on_disk(spark, tmp_path):
 def write_month(tmp_path, extraction, day, openings):
     """A complete dump: ten shards of companies and establishments, four code files."""
     places = monthly.Places(*[str(tmp_path / n) for n in ("zips", "raw", "work", "aggregate")])
-    archives(tmp_path / "zips" / extraction, LAYOUT.expected_archives())
+    archives(tmp_path / "zips" / extraction, LAYOUT.archives)
     raw = tmp_path / "raw" / extraction
     columns = LAYOUT.tables["estabelecimentos"].columns
     for number in range(10):
