@@ -51,7 +51,16 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[dict[bytes, int
     counts = materialise(
         docs.select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = counts.agg(F.sum("n")).collect()[0][0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    # Every task would send its own ``size`` best to the driver; so the words are first cut
+    # to the counts, by powers of two, that can be among them.
+    level = F.floor(F.log2("n")).cast("int")
+    held = {r["level"]: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}
+    above, least = 0, 0
+    for least in sorted(held, reverse=True):
+        above += held[least]
+        if above >= size:
+            break
+    top = counts.where(level >= least).orderBy(F.desc("n"), "word").limit(size).collect()
     known = [r["n"] for r in top]
     return {bytes(r["word"]): k + 1 for k, r in enumerate(top)}, [total - sum(known), *known]
 
