@@ -40,6 +40,8 @@ LENGTH = 200
 SAMPLE = 100
 #: Bytes of a text that are worked on at once.
 PIECE = 1 << 21
+#: Bits of the map that spares names that occur once the shuffle: 8 MB, whatever the input.
+BITS = 1 << 26
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 _32, _29 = np.uint64(32), np.uint64(29)
@@ -110,26 +112,48 @@ def _sample_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64))], ["h"])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h, c, row, lo, hi = [], [], [], [], []
-        for k, text in enumerate(batch.column("data")):
-            for at, data in pieces(text.as_py()):
-                name = prefixes(data)
-                own, first, last = sampled(name)
-                whole = windows(name)
-                h.append(own)
-                c.append(named(whole[first], whole[last], (last - first).astype(np.uint64)))
-                row.append(np.full(len(own), k))
-                lo.append(at + first)
-                hi.append(at + last)
-        if h:
-            row = pa.array(np.concatenate(row))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(h).view(np.int64)), pa.array(np.concatenate(c).view(np.int64)),
-                batch.column("t1").take(row), batch.column("t2").take(row),
-                pa.array(np.concatenate(lo).astype(np.int32)), pa.array(np.concatenate(hi).astype(np.int32))],
-                ["h", "c", "t1", "t2", "lo", "hi"])
+def marked(names: DataFrame) -> np.ndarray:
+    """A bit map of ``BITS`` bits, as words, with the bits of all names ``h`` set.
+
+    Its size is fixed. With more names than bits it lets all names pass, and the exact
+    join behind it does all the work.
+    """
+    word = F.shiftright(F.col("h").bitwiseAND(F.lit(BITS - 1)), 6)
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    found = names.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _contexts(names):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = names.value
+        for batch in batches:
+            h, c, row, lo, hi = [], [], [], [], []
+            for k, text in enumerate(batch.column("data")):
+                for at, data in pieces(text.as_py()):
+                    name = prefixes(data)
+                    own, first, last = sampled(name)
+                    place = own & np.uint64(BITS - 1)
+                    some = (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+                    own, first, last = own[some], first[some], last[some]
+                    if not len(own):
+                        continue
+                    whole = windows(name)
+                    h.append(own)
+                    c.append(named(whole[first], whole[last], (last - first).astype(np.uint64)))
+                    row.append(np.full(len(own), k))
+                    lo.append(at + first)
+                    hi.append(at + last)
+            if h:
+                row = pa.array(np.concatenate(row))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(h).view(np.int64)), pa.array(np.concatenate(c).view(np.int64)),
+                    batch.column("t1").take(row), batch.column("t2").take(row),
+                    pa.array(np.concatenate(lo).astype(np.int32)), pa.array(np.concatenate(hi).astype(np.int32))],
+                    ["h", "c", "t1", "t2", "lo", "hi"])
+    return run
 
 
 def _window_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,13 +220,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     long = rows.where(F.length("data") >= LENGTH)
     copies = materialise(long.groupBy("t1", "t2").count().where("count > 1").select("t1", "t2"), "copies")
     key = ["t1", "t2"]
-    one = materialise(long.join(copies, key, "left_semi").dropDuplicates(key).select(*key, "data"), "one_copy")
-    texts = long.join(copies, key, "left_anti").select(*key, "data").unionByName(one)
+    # written once, for three passes; copies are folded before the one shuffle it takes
+    texts = materialise(long.dropDuplicates(key).select(*key, "data"), "texts")
 
     often = materialise(
         texts.mapInArrow(_sample_names, "h long").groupBy("h").count().where("count > 1").select("h"), "often")
+    bits = docs.sparkSession.sparkContext.broadcast(marked(often))
     seen = materialise(texts.mapInArrow(
-        _contexts, "h long, c long, t1 long, t2 long, lo int, hi int").join(often, "h", "left_semi"), "seen")
+        _contexts(bits), "h long, c long, t1 long, t2 long, lo int, hi int").join(often, "h", "left_semi"), "seen")
     contexts = materialise(seen.groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("at")), "contexts")
     several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
