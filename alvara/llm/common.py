@@ -11,6 +11,8 @@ from alvara.session import materialise
 
 __all__ = ["materialise", "table", "tidy", "fresh", "bucketed_rank"]
 
+#: Rows of an Arrow batch.
+ARROW_ROWS = 1_000
 #: Rows that one numbering bucket holds on average.
 BUCKET_ROWS = 50_000
 
@@ -22,8 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def tidy(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast to the named types; a missing one is null.
 
-    Further columns, whatever their names, can then clash with nothing.
+    Further columns, whatever their names, can then clash with nothing. Texts may be
+    long, so Arrow batches get few rows from here on.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return df.select(*[
         (df[f"`{name}`"] if name in df.columns else F.lit(None)).cast(kind).alias(name)
         for name, kind in kinds.items()

@@ -31,8 +31,9 @@ from .common import table, tidy
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
-#: Segments that a worker keeps; the table starts anew beyond.
-KEPT = 600_000
+#: Segments that a worker's table gains before those not used since are dropped; it never
+#: holds more than twice as many.
+KEPT = 150_000
 #: Rows of a piece of a batch; bounds what is held between texts and ids.
 ROWS = 256
 
@@ -62,6 +63,7 @@ class Vocabulary:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end = self.library.eos_id()
+        self.decimal = [str(i) for i in range(len(proto.pieces))].__getitem__
 
     def merge(self, segment: str) -> list[str]:
         """The symbols that are left when no adjacent pair spells a piece.
@@ -127,16 +129,19 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoded(dict):
-    """Segment to its ids, as text with a blank before each and as numbers."""
+    """Segment to its ids; what was used before the last clearing is still at hand."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
-        self.words, self.new = words, {}
+        self.words, self.new, self.older = words, {}, {}
 
-    def __missing__(self, segment: str) -> tuple[str, list[int]]:
-        ids = self.new[segment] = self.words.ids(segment)
-        self[segment] = both = "".join([f" {i}" for i in ids]), ids
-        return both
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        found = self.older.get(segment)
+        if found is None:
+            ids = self.new[segment] = self.words.ids(segment)
+            found = tuple(ids)
+        self[segment] = found
+        return found
 
     def settle(self) -> None:
         """Check what is new, and keep the table bounded."""
@@ -144,6 +149,7 @@ class Encoded(dict):
             self.words.check(self.new)
             self.new = {}
         if len(self) > KEPT:
+            self.older = dict(self)
             self.clear()
 
 
@@ -152,13 +158,13 @@ def encoded(path: str) -> Encoded:
     return Encoded(vocabulary(path))
 
 
-def encode_text(path: str, text: str | None, end: bool = True) -> tuple[str, list[int]]:
-    """The ids of the whole text, an end id last: as decimals with blanks between, and as numbers."""
+def encode_text(path: str, text: str | None, end: bool = True) -> list[int]:
+    """The ids of the whole text, an end id last."""
     known = encoded(path)
-    found = [known[s] for s in known.words.segments(text or "")]
+    found = list(chain.from_iterable([known[s] for s in known.words.segments(text or "")]))
     if end:
-        found.append((f" {known.words.end}", [known.words.end]))
-    return "".join([t for t, _ in found])[1:], list(chain.from_iterable([i for _, i in found]))
+        found.append(known.words.end)
+    return found
 
 
 OUT = T.StructType([
@@ -175,13 +181,13 @@ def _run(path: str, digest: bool, end: bool):
 
     def rows(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = vocabulary(path)
-        both = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
+        ids = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
         encoded(path).settle()
-        texts = [words.library.decode(ids) for _, ids in both]
-        counts = [len(ids) for _, ids in both]
+        texts = [words.library.decode(i) for i in ids]
+        counts = [len(i) for i in ids]
         schema = digest_schema if digest else out_schema
-        columns = [counts, [sha(ids) for ids, _ in both], [sha(t) for t in texts]] if digest \
-            else [[ids for _, ids in both], counts, texts]
+        columns = [counts, [sha(" ".join(map(words.decimal, i))) for i in ids], [sha(t) for t in texts]] \
+            if digest else [ids, counts, texts]
         return pa.RecordBatch.from_arrays(
             [piece.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))], schema=schema)
 
