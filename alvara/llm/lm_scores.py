@@ -1,18 +1,16 @@
 """Language-model scores by stupid backoff, computed with joins.
 
-The vocabulary is the ``VOCABULARY`` most frequent words of the whole corpus, counted
-over all documents; every other word is the unknown word, and counts as it. With word
-numbers below 2^16 an n-gram is one long, without collisions, and its prefix and suffix
-are shifts of it.
-
-With S_1(w) = c(w) / N and S_k = c_k / c_(k-1)(prefix) where the n-gram was seen
-``LEAST`` times, else ``BACKOFF`` * S_(k-1)(suffix), the logarithm of S_n falls apart:
-every position has log S_1 and a backoff for each higher order, and each n-gram in the
-table of order k adds what it gains over backing off. The first part is a sum over words
-of a bounded vocabulary, made where the text is read. The second is a join of the
-exploded n-grams of all documents (document, n-gram, times) with the table of gains,
-partitioned by hash on both sides, summed for each document. The gains are joins of the
-count tables with each other. Terms are whole millionths, so sums don't depend on order.
+All words and all n-grams are counted, without a vocabulary. The key of a word is the
+64-bit hash of its bytes, that of a longer n-gram the hash of its prefix's key, exclusive-or
+the key of its last word; so a table of n-grams needs their prefixes only, and gives their
+last words. Two n-grams share a key with probability 2^-64; their counts are then one.
+
+S_1(w) = c(w) / N and S_k = c_k / c_(k-1)(prefix) where the n-gram was seen ``LEAST``
+times, else ``BACKOFF`` * S_(k-1)(suffix). The count tables of all orders are joined with
+each other, which gives each n-gram the logarithm of S at its last word. Every position of a
+text counts with the longest n-gram that ends there: these (document, n-gram, times) are
+joined with the table of logarithms, partitioned by hash on both sides, and summed for each
+document. Terms are whole millionths, so sums don't depend on order.
 """
 
 from __future__ import annotations
@@ -23,17 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, table, tidy
 
+#: The limit that ``OP3_SQL`` states; the query has none.
 VOCABULARY = 65_535
 ORDER = 2
 LEAST = 2
 BACKOFF = 0.4
 UNIT = 1_000_000
-BITS = 16
+#: Words whose hashes a worker keeps at once; others are hashed again.
+KEPT = 200_000
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,12 +46,10 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[dict[bytes, int], list[int]]:
-    """Number of each word from 1 on by falling count (ties by bytes), and counts by number;
-    0 is the unknown word. At most ``size`` words reach the driver."""
+def vocabulary(docs: DataFrame, size: int) -> set[bytes]:
+    """The ``size`` most frequent words (ties by bytes)."""
     counts = materialise(
         docs.select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).collect()[0][0] or 0
     # Every task would send its own ``size`` best to the driver; so the words are first cut
     # to the counts, by powers of two, that can be among them.
     level = F.floor(F.log2("n")).cast("int")
@@ -60,76 +59,116 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[dict[bytes, int
         above += held[least]
         if above >= size:
             break
-    top = counts.where(level >= least).orderBy(F.desc("n"), "word").limit(size).collect()
-    known = [r["n"] for r in top]
-    return {bytes(r["word"]): k + 1 for k, r in enumerate(top)}, [total - sum(known), *known]
+    return {bytes(r["word"]) for r in counts.where(level >= least).orderBy(F.desc("n"), "word").limit(size).collect()}
 
 
-def _log(value: float) -> int:
-    return round(math.log(value) * UNIT)
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of unsigned 64-bit numbers."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
+    def turned(v: np.ndarray, bits: int) -> np.ndarray:
+        return (v << np.uint64(bits)) | (v >> np.uint64(64 - bits))
 
-def _exploded(words, counts: list[int], order: int, backoff: float):
-    total = max(1, sum(counts))
-    base = np.array([_log(c / total) if c else 0 for c in counts], np.int64)
-    step = _log(backoff)
+    h = turned((p5 + np.uint64(42 + 8)) ^ (turned(x * p2, 31) * p1), 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
 
+
+def _keys(known):
+    """From a text to the keys of its words; those not in ``known``, if given, share key 0."""
+    kept: dict[bytes, int] = {}
+    digest = xxhash.xxh3_64_intdigest
+
+    def key(word: bytes) -> int:
+        found = kept.get(word)
+        if found is None:
+            if len(kept) >= KEPT:
+                kept.clear()
+            found = kept[word] = digest(word) if known is None or word in known.value else 0
+        return found
+
+    def run(text: str | None) -> np.ndarray:
+        split = (text or "").encode().split()
+        return np.fromiter(map(key, split), np.uint64, len(split))
+    return run
+
+
+def _counted(known, order: int):
+    """(gram, k, prefix, n) of all n-grams up to ``order``, summed over some rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _keys(known)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                ids = [keys(t.as_py()) for t in batch.column(0).slice(at, 500)]
+                grams = ids
+                prefixes = [np.zeros(len(i), np.uint64) for i in ids]
+                for k in range(1, order + 1):
+                    if k > 1:
+                        prefixes = [g[:-1] for g in grams]
+                        grams = [mixed(p) ^ i[k - 1:] for p, i in zip(prefixes, ids)]
+                    some, where, often = np.unique(np.concatenate(grams), return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some.view(np.int64)), pa.array(np.full(len(some), k, np.int8)),
+                         pa.array(np.concatenate(prefixes)[where].view(np.int64)), pa.array(often.astype(np.int64))],
+                        ["gram", "k", "prefix", "n"])
+    return run
+
+
+def _longest(known, order: int):
+    """(doc_id, gram, times): for every position the longest n-gram that ends there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = words.value.get
+        keys = _keys(known)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 docs, grams, times = [], [], []
                 part = batch.slice(at, 500)
-                for k, text in enumerate(part.column(1)):
-                    split = (text.as_py() or "").encode().split()
-                    ids = np.fromiter((number(w, 0) for w in split), np.int64, len(split))
-                    # a row with gram -1 holds the document's own sum, one with -2 its words
-                    own = int(base[ids].sum()) + step * sum(max(0, len(ids) - n) for n in range(1, order))
-                    docs.append(np.full(2, k))
-                    grams.append(np.array([-1, -2]))
-                    times.append(np.array([own, len(ids)]))
-                    gram = ids
-                    for n in range(2, order + 1):
-                        if len(ids) < n:
-                            break
-                        gram = (gram[:-1] << BITS) | ids[n - 1:]
-                        some, often = np.unique(gram, return_counts=True)
-                        docs.append(np.full(len(some), k))
-                        grams.append(some | (n << 58))
-                        times.append(often)
+                for row, text in enumerate(part.column(1)):
+                    gram = ids = keys(text.as_py())
+                    ends = []
+                    for k in range(2, order + 1):
+                        ends.append(gram[:1])
+                        gram = mixed(gram[:-1]) ^ ids[k - 1:]
+                    some, often = np.unique(np.concatenate([*ends, gram]), return_counts=True)
+                    docs.append(np.full(len(some), row))
+                    grams.append(some)
+                    times.append(often)
                 if docs:
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(pa.array(np.concatenate(docs))),
-                         pa.array(np.concatenate(grams)), pa.array(np.concatenate(times).astype(np.int64))],
-                        ["doc_id", "gram", "times"])
+                         pa.array(np.concatenate(grams).view(np.int64)),
+                         pa.array(np.concatenate(times).astype(np.int64))], ["doc_id", "gram", "times"])
     return run
 
 
-def gains(counts: DataFrame, unigrams: DataFrame, total: int, order: int, backoff: float) -> DataFrame:
-    """(gram, gain): what each n-gram of ``counts`` (gram, n) adds over backing off."""
-    out = None
-    lower = unigrams  # (gram, n) of the order below; the empty n-gram counts all words
+def logarithms(counts: DataFrame, total: int, order: int, least: int, backoff: float) -> DataFrame:
+    """(gram, log): the logarithm of S at the last word of each n-gram of ``counts``, in millionths."""
+    step = round(math.log(backoff) * UNIT)
+    lower = materialise(counts.where("k = 1").select(
+        "gram", "n", F.col("gram").alias("last"), F.round(F.log(F.col("n") / F.lit(total)) * UNIT).cast("long").alias("log"),
+        F.lit(total).cast("long").alias("n_prefix")), "order-1")
+    out = lower.select("gram", "log")
     for k in range(2, order + 1):
-        mask, tag = (1 << (BITS * (k - 1))) - 1, (k << 58)
-        own = counts.where(F.shiftright("gram", 58) == k).select((F.col("gram") - F.lit(tag)).alias("own"), "n")
-        parts = own.select(
-            "own", "n", F.shiftright("own", BITS).alias("prefix"), F.col("own").bitwiseAND(F.lit(mask)).alias("suffix"))
-        parts = parts.join(lower.select(F.col("gram").alias("prefix"), F.col("n").alias("n_prefix")), "prefix")
-        parts = parts.join(lower.select(F.col("gram").alias("suffix"), F.col("n").alias("n_suffix")), "suffix")
+        rows = counts.where(F.col("k") == k).select(
+            "gram", "n", "prefix", F.col("gram").bitwiseXOR(F.xxhash64("prefix")).alias("last"))
+        before = lower.select(F.col("gram").alias("prefix"), F.col("n").alias("n_prefix"), F.col("last").alias("middle"))
         if k == 2:
-            parts = parts.withColumn("n_middle", F.lit(total))
+            suffix = F.col("last")
         else:
-            below = previous.select(F.col("gram").alias("middle"), F.col("n").alias("n_middle"))
-            parts = parts.withColumn("middle", F.shiftright("suffix", BITS)).join(below, "middle")
+            suffix = F.xxhash64("middle").bitwiseXOR(F.col("last"))
+        rows = rows.join(before, "prefix").select("gram", "n", "last", "n_prefix", suffix.alias("suffix"))
+        after = lower.select(F.col("gram").alias("suffix"), F.col("n").alias("n_suffix"), F.col("n_prefix").alias("n_middle"), "log")
         gain = F.log(F.col("n") / F.col("n_prefix")) - F.log(F.col("n_suffix") / F.col("n_middle")) - math.log(backoff)
-        rows = parts.select((F.col("own") + F.lit(tag)).alias("gram"), F.round(gain * UNIT).cast("long").alias("gain"))
-        out = rows if out is None else out.unionByName(rows)
-        previous, lower = lower, own.withColumnRenamed("own", "gram")
+        gain = F.when(F.col("n") >= least, F.round(gain * UNIT).cast("long")).otherwise(F.lit(0))
+        lower = materialise(rows.join(after, "suffix").select(
+            "gram", "n", "last", (F.col("log") + step + gain).alias("log"), "n_prefix"), f"order-{k}")
+        out = out.unionByName(lower.select("gram", "log"))
     return out
 
 
 def score(
-    docs: DataFrame, order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF, size: int = VOCABULARY,
+    docs: DataFrame, order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF, size: int | None = None,
 ) -> DataFrame:
     """(doc_id, n_words, log_score, per_word) for ``docs`` (doc_id, text).
 
@@ -137,26 +176,23 @@ def score(
     in millionths (long); ``per_word``: its mean in nats, null without words. Rows with
     one doc_id, null too, are parts of one document and add up; n-grams don't cross
     rows. Null and empty texts have no words and the score 0. Further columns are
-    ignored; an empty table gives an empty result. ``order`` is 2 or 3.
+    ignored; an empty table gives an empty result. ``order`` is 2 or 3. With ``size``,
+    all but so many most frequent words are one unknown word; they reach the driver.
     """
-    if not 2 <= order <= 3 or not 0 < size < 1 << BITS or least < 1:
-        raise ValueError("order 2 or 3, less than 2^16 words, least from 1 on")
+    if not 2 <= order <= 3 or size is not None and size < 1 or least < 1:
+        raise ValueError("order 2 or 3, size and least from 1 on")
     docs = tidy(docs, doc_id="long", text="string")
-    spark = docs.sparkSession
-    known, counts = vocabulary(docs, size)
-    words = spark.sparkContext.broadcast(known)  # bounded by ``size``
-    rows = docs.mapInArrow(_exploded(words, counts, order, backoff), "doc_id long, gram long, times long")
-    grams = rows.where("gram >= 0")
-    tables = materialise(
-        grams.groupBy("gram").agg(F.sum("times").alias("n")).where(F.col("n") >= least), "counts")
-    unigrams = spark.createDataFrame([(k, n) for k, n in enumerate(counts) if n], "gram long, n long")
-    gain = materialise(gains(tables, unigrams, sum(counts), order, backoff), "gains")
-    gained = grams.join(gain, "gram").groupBy("doc_id").agg(
-        F.sum(F.col("times") * F.col("gain")).alias("own"), F.lit(0).cast("long").alias("n_words"))
-    own = rows.where("gram < 0").groupBy("doc_id").agg(
-        F.sum(F.when(F.col("gram") == -1, F.col("times"))).alias("own"),
-        F.sum(F.when(F.col("gram") == -2, F.col("times"))).alias("n_words"))
-    every = materialise(own, "own").unionByName(materialise(gained, "gained"))
+    known = None if size is None else docs.sparkSession.sparkContext.broadcast(vocabulary(docs, size))
+    counts = materialise(
+        docs.select("text").mapInArrow(_counted(known, order), "gram long, k byte, prefix long, n long")
+        .groupBy("gram").agg(F.min("k").alias("k"), F.min("prefix").alias("prefix"), F.sum("n").alias("n")), "counts")
+    total = counts.where("k = 1").agg(F.sum("n")).first()[0] or 1
+    logs = logarithms(counts, total, order, least, backoff)
+    found = docs.mapInArrow(_longest(known, order), "doc_id long, gram long, times long").join(logs, "gram")
+    found = found.groupBy("doc_id").agg(
+        F.sum("times").alias("n_words"), F.sum(F.col("times") * F.col("log")).alias("own"))
+    zero = F.lit(0).cast("long")
+    every = materialise(found, "found").unionByName(docs.select("doc_id", zero.alias("n_words"), zero.alias("own")))
     return every.groupBy("doc_id").agg(
         F.sum("n_words").alias("n_words"), F.sum("own").alias("log_score")).withColumn(
         "per_word", F.round(F.col("log_score") / F.nullif(F.col("n_words"), F.lit(0)) / UNIT, 6))

@@ -1,6 +1,7 @@
 import collections
 import math
 
+import numpy as np
 import pytest
 from compare import compare, duck
 
@@ -51,3 +52,19 @@ def test_empty_table_and_parameters(spark):
 def test_query_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert compare(lm_scores.op3_lm_scores(spark, folder), duck(folder), lm_scores.OP3_SQL) is None
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_no_word_is_unknown(spark, order):
+    # more words than 16 bits could number; rare ones must keep their own counts
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(700))) for k in range(100)]
+    rows += [(200, "w99x699 w99x699 w99x699"), (201, "w99x698 w3x1"), (202, "w99x698 w3x1 w99x699")]
+    got = {r.doc_id: r for r in lm_scores.score(spark.createDataFrame(rows, "doc_id long, text string"), order, 2).collect()}
+    for d, (n, total) in slow(rows, order, 10 ** 9).items():
+        assert got[d].n_words == n and abs(got[d].log_score / 1e6 - total) < 1e-5 * n
+
+
+def test_keys_are_those_of_spark(spark):
+    some = np.random.default_rng(1).integers(-2**63, 2**63, 100)
+    rows = spark.createDataFrame([(int(x),) for x in some], "x long").selectExpr("x", "xxhash64(x) h").collect()
+    assert [r.h for r in rows] == lm_scores.mixed(np.array([r.x for r in rows]).view(np.uint64)).view(np.int64).tolist()
