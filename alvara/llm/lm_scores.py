@@ -5,8 +5,8 @@ All words and all n-grams are counted, without a vocabulary. The key of a word i
 the key of its last word; so a table of n-grams needs their prefixes only, and gives their
 last words. Two n-grams share a key with probability 2^-64; their counts are then one.
 
-S_1(w) = c(w) / N and S_k = c_k / c_(k-1)(prefix) where the n-gram was seen ``LEAST``
-times, else ``BACKOFF`` * S_(k-1)(suffix). The count tables of all orders are joined with
+S_1(w) = c(w) / N and S_k = c_k / c_(k-1)(prefix) where the n-gram was seen ``least``
+times (by default: once), else ``BACKOFF`` * S_(k-1)(suffix). The count tables of all orders are joined with
 each other, which gives each n-gram the logarithm of S at its last word. Every position of a
 text counts with the longest n-gram that ends there: these (document, n-gram, times) are
 joined with the table of logarithms, partitioned by hash on both sides, and summed for each
@@ -30,7 +30,7 @@ from .common import materialise, table, tidy
 #: The limit that ``OP3_SQL`` states; the query has none.
 VOCABULARY = 65_535
 ORDER = 2
-LEAST = 2
+LEAST = 1
 BACKOFF = 0.4
 UNIT = 1_000_000
 #: Words whose hashes a worker keeps at once; others are hashed again.

@@ -68,3 +68,19 @@ def test_keys_are_those_of_spark(spark):
     some = np.random.default_rng(1).integers(-2**63, 2**63, 100)
     rows = spark.createDataFrame([(int(x),) for x in some], "x long").selectExpr("x", "xxhash64(x) h").collect()
     assert [r.h for r in rows] == lm_scores.mixed(np.array([r.x for r in rows]).view(np.uint64)).view(np.int64).tolist()
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_what_was_seen_once_counts(spark, order):
+    rows = [(0, "a b c"), (1, "a d c b"), (2, "e"), (3, None)]
+    parts = [(d, (t or "").split()) for d, t in rows]
+    grams = collections.Counter(
+        tuple(v[k:k + n]) for _, v in parts for n in range(1, order + 1) for k in range(len(v) - n + 1))
+    got = {r.doc_id: r for r in lm_scores.score(spark.createDataFrame(rows, "doc_id long, text string"), order).collect()}
+    for d, v in parts:
+        # nothing backs off: every n-gram of the corpus was seen
+        total = 0.0
+        for k in range(len(v)):
+            gram = tuple(v[max(0, k - order + 1):k + 1])
+            total += math.log(grams[gram] / (grams[gram[:-1]] if len(gram) > 1 else 8))
+        assert got[d].n_words == len(v) and abs(got[d].log_score / 1e6 - total) < 1e-5
