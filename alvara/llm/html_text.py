@@ -1,14 +1,16 @@
 """HTML extraction by equivalence classes of tokens.
 
-Tokens are tags (name, class, id and role) and whole texts between tags. The occurrence
-vector of a token is its count on every page of a host; tokens with equal vectors form
-a class. The class of tokens that every page has exactly once is the root of the host's
-template; classes of two or more tokens that repeat together on most pages are nested in
+Tokens are tags (name, class, id and role; one with an id also without its value) and
+whole texts between tags. The occurrence vector of a token is its count on every page of
+a host; tokens with equal vectors form a class. The tokens that nearly all pages have
+exactly once (``ROOT_SHARE``) are the root of the host's template; classes of two or more tokens that repeat together on most pages are nested in
 its slots as lists. A class is valid on a page if its tokens come in the template's
 order; others are skipped there. Slots are what lies between matched root tokens, and
-the root tags that are open around a slot say what it is. The text of the article's
-slots is the result; where no root tag names an article, it is that of all slots that
-aren't named as something else, without lists of links and blocks of nothing but the template's texts.
+the tags that are open around a slot say what it is. The text of the article's slots is
+the result. An article is named by root tags and by article and main tags of the page, or
+where it has neither by other marks of the page. Where nothing names one, the result is
+the text of all slots that aren't named as something else, without blocks of nothing but
+links of a list or nothing but the template's texts.
 
 Vectors are compared by a digest that is summed over pages, so a host with any number
 of pages is folded before the shuffle, and nothing of a host is gathered but its
@@ -33,6 +35,8 @@ from .common import materialise, table, tidy
 LEAST_PAGES = 5
 #: Share of a host's pages that a list class occurs on at least.
 LIST_SHARE = 0.5
+#: Share of a host's pages that a root token occurs on exactly once at least.
+ROOT_SHARE = 0.8
 #: A template has so many tokens at most; pages share far fewer tags.
 TEMPLATE = 2_000
 ALL = "*"
@@ -69,10 +73,10 @@ def host_of(url: str | None) -> str:
 class Token:
     """One tag or text of a page."""
 
-    __slots__ = ("name", "closes", "marks", "text", "key")
+    __slots__ = ("name", "closes", "marks", "text", "key", "bare")
 
     def __init__(self, raw: str, raw_name: str | None):
-        self.name = self.text = self.key = None
+        self.name = self.text = self.key = self.bare = None
         self.closes, self.marks = False, ""
         m = NAME.match(raw) if raw.startswith("<") and raw_name is None else None
         if raw_name is not None:  # an element whose content is no markup
@@ -83,6 +87,10 @@ class Token:
                 self.marks = " ".join(sorted(
                     f"{k.lower()}={(a or b or c).strip().lower()}" for k, a, b, c in MARKS.findall(raw)))
             self.key = f"{'/' if self.closes else ''}{self.name} {self.marks}".strip()
+            if "id=" in self.marks:  # ids may name the page
+                self.bare = f"{self.name} " + " ".join(sorted({"id", *(
+                    f"{k.lower()}={(a or b or c).strip().lower()}"
+                    for k, a, b, c in MARKS.findall(raw) if k.lower() != "id")}))
         elif not raw.startswith(("<!", "<?")):
             self.text = unescape(raw)
             bare = " ".join(self.text.split())
@@ -100,7 +108,8 @@ class Token:
 
     @property
     def article(self) -> bool:
-        return self.name in ARTICLE or bool(self.marks) and bool(ARTICLE_MARK.search(self.values))
+        return self.name in ARTICLE or bool(self.marks) and self.name not in ("html", "body") and bool(
+            ARTICLE_MARK.search(self.values))
 
 
 def tokens(html: str | None) -> list[Token]:
@@ -111,9 +120,10 @@ def vectors(html: str | None) -> dict[str, tuple[int, int]]:
     """Token to its count on the page and where it comes first."""
     first, count = {}, Counter()
     for at, token in enumerate(tokens(html)):
-        if token.key is not None:
-            count[token.key] += 1
-            first.setdefault(token.key, at)
+        for key in (token.key, token.bare):
+            if key is not None:
+                count[key] += 1
+                first.setdefault(key, at)
     return {k: (n, first[k]) for k, n in count.items()}
 
 
@@ -123,7 +133,7 @@ def matched(page: list[Token], root: list[str]) -> set[int]:
     # longest increasing run of places: what else is on the page came out of order
     tails, ends, back = [], [], {}
     for at, token in enumerate(page):
-        k = place.get(token.key)
+        k = place.get(token.key, place.get(token.bare))
         if k is None:
             continue
         i = bisect_left(tails, k)
@@ -143,28 +153,38 @@ def matched(page: list[Token], root: list[str]) -> set[int]:
 def article_text(html: str | None, root: list[str], lists: list[str]) -> str:
     """The main text of a page under a template: root tokens in order, tokens of lists."""
     page = tokens(html)
-    fixed = matched(page, root)
+    fixed, known = matched(page, root), set(root)
     links = {key for key in lists if key == "a" or key.startswith("a ")}
-    named = any(page[at].article and not page[at].closes for at in fixed if page[at].name) or not fixed and any(
-        t.article and not t.closes for t in page if t.name)
+    marked = [t for t in page if t.name and t.article and not t.closes and not t.other]
+    sure = [t for t in marked if t.name in ARTICLE or fixed and (t.key in known or t.bare in known)]
+    text, found = _article(page, fixed, set(map(id, sure if fixed and sure else marked)), links)
+    # an article only inside of what is left out is none
+    return text if found or not marked else _article(page, fixed, set(), links)[0]
+
+
+def _article(page: list[Token], fixed: set[int], articles: set[int], links: set[str]) -> tuple[str, bool]:
+    """The text of the tags ``articles`` (by identity), of all slots if there are none; whether one came up."""
+    named = bool(articles)
     blocks, block, open_, count = [], [], [], Counter()
     inside = skipped = linked = 0
+    found = False
     own = False  # whether the block holds any text beside the template's
+    prose = False  # whether it holds any text beside links of a list
 
     def end() -> None:
-        nonlocal block, own
+        nonlocal block, own, prose
         text = " ".join("".join(block).split())
-        if text and own:
+        if text and own and prose:
             blocks.append(text)
-        block, own = [], False
+        block, own, prose = [], False, False
 
     for at, token in enumerate(page):
         name = token.name
         if name is None:
             if not token.text or skipped or (named and not inside):
                 continue
-            if not named and linked:
-                continue  # a list of links
+            # what separates links has neither letters nor digits
+            prose = prose or named or not linked and (not links or any(c.isalnum() for c in token.text))
             own = own or named or at not in fixed and not token.text.isspace()
             block.append(token.text)
             continue
@@ -195,13 +215,14 @@ def article_text(html: str | None, root: list[str], lists: list[str]) -> str:
                     skipped, inside, linked = skipped - other, inside - article, linked - link
         # the head of an article belongs to it
         other = token.other and not (name == "header" and inside)
-        article = token.article and not other and (not fixed or at in fixed or name in ARTICLE)
-        link = token.key in links
+        article = id(token) in articles and not other
+        found = found or article and not skipped
+        link = token.key in links or token.bare in links
         open_.append((name, int(other), int(article), int(link)))
         count[name] += 1
         skipped, inside, linked = skipped + other, inside + article, linked + link
     end()
-    return "\n".join(blocks)
+    return "\n".join(blocks), found
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +241,8 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, root, lists) for ``pages`` (page_id, url, html), and a row for the host '*' of all.
 
-    ``root``: tokens that all pages of the host have exactly once, in order; ``lists``:
-    tokens of the classes that repeat together.
+    ``root``: tokens that nearly all pages of the host have exactly once, in order;
+    ``lists``: tokens of the classes that repeat together.
     """
     key = F.xxhash64("page_id", "url", "html")
     seen = materialise(
@@ -231,24 +252,27 @@ def templates(pages: DataFrame) -> DataFrame:
     mix = F.xxhash64("page", "n")
     parts = seen.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("times"),
+        F.sum((F.col("n") == 1).cast("long")).alias("ones"),
         F.sum(F.shiftrightunsigned(mix, 33)).alias("high"), F.sum(mix.bitwiseAND(F.lit(0x7FFFFFFF))).alias("low"),
         F.sum("first").alias("firsts"))
-    sums = [F.sum(c).alias(c) for c in ("pages", "times", "high", "low", "firsts")]
+    sums = [F.sum(c).alias(c) for c in ("pages", "times", "ones", "high", "low", "firsts")]
     parts = materialise(parts, "tokens")
     parts = parts.unionByName(parts.groupBy("token").agg(*sums).withColumn("host", F.lit(ALL)))
     hosts = pages.select(_host(F.col("url")).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     hosts = materialise(hosts, "hosts")
     hosts = hosts.unionByName(hosts.agg(F.sum("all").alias("all")).where("all > 0").withColumn("host", F.lit(ALL)))
     hosts = hosts.where((F.col("all") >= LEAST_PAGES) | (F.col("host") == ALL))
-    common = parts.join(hosts, "host").where((F.col("pages") >= LIST_SHARE * F.col("all")) & (F.col("pages") > 1) | (F.col("pages") == F.col("all")))
-    once = (F.col("pages") == F.col("all")) & (F.col("times") == F.col("pages"))
-    classes = common.groupBy("host", "pages", "times", "high", "low").agg(
-        F.first("all").alias("all"), F.count(F.lit(1)).alias("size"),
-        F.slice(F.array_sort(F.collect_list(F.struct((F.col("firsts") / F.col("pages")).alias("at"), "token"))), 1, TEMPLATE).alias("tokens"))
-    classes = classes.withColumn("root", once).where("root or (size > 1 and times > pages)")
+    common = parts.join(hosts, "host").withColumn("root", F.col("ones") >= ROOT_SHARE * F.col("all")).where(
+        (F.col("pages") >= LIST_SHARE * F.col("all")) & (F.col("times") > F.col("pages")) & (F.col("pages") > 1)
+        | (F.col("pages") == F.col("all")) | F.col("root"))
+    place = F.struct((F.col("firsts") / F.col("pages")).alias("at"), "token")
+    classes = common.groupBy("host", "root", "pages", "times", "high", "low").agg(
+        F.count(F.lit(1)).alias("size"), F.collect_list(place).alias("tokens"))
+    classes = classes.where("root or (size > 1 and times > pages)")
+    tokens_of = lambda root: F.flatten(F.collect_list(F.when(F.col("root") == root, F.col("tokens"))))
     return materialise(classes.groupBy("host").agg(
-        F.flatten(F.collect_list(F.when(F.col("root"), F.col("tokens.token")))).alias("root"),
-        F.flatten(F.collect_list(F.when(~F.col("root"), F.col("tokens.token")))).alias("lists")), "templates")
+        F.slice(F.array_sort(tokens_of(True)), 1, TEMPLATE)["token"].alias("root"),
+        F.slice(F.array_sort(tokens_of(False)), 1, TEMPLATE)["token"].alias("lists")), "templates")
 
 
 def _host(url):

@@ -59,3 +59,40 @@ def test_no_pages(spark):
 
 def test_hosts():
     assert [H.host_of(u) for u in ("http://a@B.c:1/x", "//h?q", None, "x", "https://h")] == ["b.c", "h", "", "", "h"]
+
+
+def extracted(spark, pages, host="site.example"):
+    rows = [(k, f"http://{host}/{k}", html) for k, html in enumerate(pages)]
+    return {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def framed(inner):
+    return f"<html><body><div class=top>Hello</div>{inner}<div class=extra>{len(inner)} more to see</div></body></html>"
+
+
+@pytest.mark.parametrize("odd", [
+    "<html><body>Not found</body></html>", framed("<article><p>a</p></article><article><p>b</p></article>")])
+@pytest.mark.parametrize("tag", ["article", "div class=article", "article id='post-{}'", "div class=post id='post-{}'"])
+def test_an_odd_page_or_an_id_keeps_the_article(spark, odd, tag):
+    close = tag.split(" ")[0]
+    pages = [framed(f"<{tag.format(k)}><p>Body {k}.</p></{close}>") for k in range(7)]
+    found = extracted(spark, [*pages, odd])
+    assert [found[k] for k in range(7)] == [f"Body {k}." for k in range(7)]
+    assert found[7] == ("Not found" if "Not" in odd else "a\nb")
+
+
+def test_a_rare_article_of_the_page_itself(spark):
+    pages = [framed(f"<div class=box{k}><p>Text {k}.</p></div>") for k in range(6)]
+    assert extracted(spark, [*pages, framed("<main><p>Only this.</p></main>")])[6] == "Only this."
+    assert extracted(spark, [*pages, framed("<div class=post-body><p>Only this.</p></div>")])[6] == "Only this."
+
+
+def test_links_inside_prose_stay(spark):
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>go {{0}}{i}</a></li>" for i in range(3)) + "</ul>"
+    row = "<p>" + " | ".join(f"<a href=/{i}>part {{0}}{i}</a>" for i in range(3)) + "</p>"
+    pages = [f"<html><body>{(menu + row).format(k)}<p>See <a href=x>the {k} list</a> now.</p></body></html>" for k in range(6)]
+    assert extracted(spark, pages) == {k: f"See the {k} list now." for k in range(6)}
+
+
+def test_an_article_inside_a_sidebar_is_none():
+    assert H.article_text("<p>Text.</p><div class=sidebar><div class=content>no</div></div>", [], []) == "Text."
