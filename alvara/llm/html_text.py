@@ -37,8 +37,6 @@ LEAST_PAGES = 5
 LIST_SHARE = 0.5
 #: Share of a host's pages that a root token occurs on exactly once at least.
 ROOT_SHARE = 0.8
-#: A template has so many tokens at most; pages share far fewer tags.
-TEMPLATE = 2_000
 ALL = "*"
 
 TOKEN = re.compile(
@@ -271,8 +269,8 @@ def templates(pages: DataFrame) -> DataFrame:
     classes = classes.where("root or (size > 1 and times > pages)")
     tokens_of = lambda root: F.flatten(F.collect_list(F.when(F.col("root") == root, F.col("tokens"))))
     return materialise(classes.groupBy("host").agg(
-        F.slice(F.array_sort(tokens_of(True)), 1, TEMPLATE)["token"].alias("root"),
-        F.slice(F.array_sort(tokens_of(False)), 1, TEMPLATE)["token"].alias("lists")), "templates")
+        F.array_sort(tokens_of(True))["token"].alias("root"),
+        F.array_sort(tokens_of(False))["token"].alias("lists")), "templates")
 
 
 def _host(url):

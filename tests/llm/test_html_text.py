@@ -96,3 +96,12 @@ def test_links_inside_prose_stay(spark):
 
 def test_an_article_inside_a_sidebar_is_none():
     assert H.article_text("<p>Text.</p><div class=sidebar><div class=content>no</div></div>", [], []) == "Text."
+
+
+def test_a_long_shared_menu_ahead_of_the_article(spark):
+    menu = "".join(f"<div class=c{i}>item {i}</div>" for i in range(1_500))
+    pages = [f"<html><body>{menu}<div class=low><p>Body {k}.</p></div></body></html>" for k in range(6)]
+    found = H.templates(spark.createDataFrame(
+        [(k, "http://site.example/", p) for k, p in enumerate(pages)], "page_id long, url string, html string"))
+    assert len(found.where("host = 'site.example'").first()["root"]) > 3_000
+    assert extracted(spark, pages) == {k: f"Body {k}." for k in range(6)}
