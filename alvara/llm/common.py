@@ -42,11 +42,13 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def bucketed_rank(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+def bucketed_rank(
+    df: DataFrame, group: list[str], order: list[str], name: str, deal: list[str] | None = None,
+) -> DataFrame:
     """Add ``name``: the row's position from 0 within ``group``, gapless.
 
     A group of any size is numbered without meeting in one task: rows are dealt
-    to buckets by a hash of ``order``, numbered there, and moved up by the sizes
+    to buckets by a hash of ``deal`` (by default ``order``), numbered there, and moved up by the sizes
     of the buckets before. The order is that of (bucket, ``order``); equal rows
     share a number's neighbours in any order. The bucket sizes are a table of
     groups x buckets rows, summed up by a window.
@@ -56,7 +58,7 @@ def bucketed_rank(df: DataFrame, group: list[str], order: list[str], name: str)
     rows = df.count()
     buckets = max(1, math.ceil(rows / BUCKET_ROWS))
     bucket, inside, before = (fresh(x, df.columns) for x in ("bucket__", "inside__", "before__"))
-    marked = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    marked = df.withColumn(bucket, F.pmod(F.xxhash64(*(deal or order)), F.lit(buckets)).cast("int"))
     sizes = marked.groupBy(*group, bucket).count()
     up_to = Window.partitionBy(*group or [F.lit(0)]).orderBy(bucket).rowsBetween(
         Window.unboundedPreceding, -1)

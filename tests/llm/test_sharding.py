@@ -39,3 +39,14 @@ def test_query(spark):
     rows = sharding.op1_sharding(spark, "/root/testdata/sf0.001").collect()
     assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
     assert len({(r.shard, r.slot) for r in rows}) == len(rows)
+
+
+def test_few_links_are_cut_where_all_rows_have_copies(spark):
+    for size in (2, 5):
+        docs = spark.range(20_000).selectExpr("id doc_id", f"'text ' || (id div {size}) text")
+        placed = sharding.materialise(sharding.shard_documents(docs), "placed")
+        assert {r["count"] for r in placed.groupBy("shard").count().collect()} == {2_500}
+        links, cut = sharding.cut_links(placed).first()
+        assert links == 20_000 - 20_000 // size
+        print("cut", size, cut, links)
+        assert cut <= links // 50
