@@ -150,6 +150,12 @@ def column_widths(spark: SparkSession, path: str, table: str, layout: Layout) ->
     return per_shard.unionByName(shard_count(spark, path, table, layout))
 
 
+def crooked_rows(spark: SparkSession, shards: Iterable[tuple[str, str, int]]) -> DataFrame:
+    """Failing rows for the shards (table, file, bad rows) that staging refused."""
+    frame = spark.createDataFrame(list(shards), "table string, file string, bad long")
+    return _rows(frame, rule_row("row_width", F.concat_ws("/", "table", "file"), F.col("bad"), 0, HARD, F.lit(False)))
+
+
 def foreign_columns(columns: Sequence[str]) -> list[str]:
     return sorted(set(columns) - set(ALLOWED_COLUMNS))
 

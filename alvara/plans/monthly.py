@@ -5,16 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.companies import ALLOWED_COLUMNS, new_companies
 from ..operators.weekly import first_week, merge_extractions, weekly_aggregate
 from ..session import tuned
-from ..sources import aggregate_store, manifest, registry_csv
+from ..sources import aggregate_store, ledger, manifest, registry_csv
 from ..sources.layout import layout_for
 
 
@@ -66,13 +66,10 @@ def file_rules(spark: SparkSession, places: Places, extraction: str,
 
 
 def control_rules(spark: SparkSession, places: Places, extraction: str) -> DataFrame:
-    """Replaced control characters of every shard that has any."""
-    layout = layout_for(extraction)
-    return quality.control_rules(reduce(DataFrame.unionByName, [
-        registry_csv.raw_control_counts(
-            spark, f"{places.raw}/{extraction}/{table}", table, layout)
-        for table in layout.tables
-    ]))
+    """Replaced control characters of every shard that has any, as staging counted them."""
+    facts = registry_csv.shard_facts(spark, f"{places.work}/staging", extraction)
+    return quality.control_rules(facts.where("trocados > 0").select(
+        F.col("arquivo").alias("file"), F.col("trocados").alias("replaced")))
 
 
 def write_companies(raw: Mapping[str, DataFrame], extraction: dt.date, target: str,
@@ -84,6 +81,26 @@ def write_companies(raw: Mapping[str, DataFrame], extraction: dt.date, target: s
     return spark.read.schema(found.schema).parquet(target).select(*ALLOWED_COLUMNS)
 
 
+def publish_month(spark: SparkSession, weekly: DataFrame, day: dt.date, root: str,
+                  left_edge: str = "replace", attempts: int = 5) -> str:
+    """Merge one extraction's weeks into the published aggregate.
+
+    Only weeks that the extraction's window reaches are read, merged and written; a
+    version that somebody else publishes meanwhile makes the merge start over from it.
+    """
+    first = first_week(day)
+    for attempt in range(attempts):
+        base = aggregate_store.base(spark, root)
+        touched = aggregate_store.current(spark, root, since=first, version=base)
+        try:
+            return aggregate_store.publish(
+                merge_extractions(weekly, touched, left_edge), root, kept_before=first, after=base)
+        except ledger.Conflict:
+            if attempt + 1 == attempts:
+                raise
+    raise ValueError("attempts has to be positive")
+
+
 def run_month(spark: SparkSession, places: Places, extraction: str,
               include_branches: bool = False, left_edge: str = "replace",
               bounds: tuple[int, int] = quality.MONTHLY_BOUNDS,
@@ -99,12 +116,8 @@ def run_month(spark: SparkSession, places: Places, extraction: str,
         quality.enforce(rules)
     try:
         raw = registry_csv.stage(spark, places.raw, f"{places.work}/staging", extraction)
-    except Exception:
-        # Worth another pass only now: name the shards with rows of a wrong width.
-        for table in layout_for(extraction).tables:
-            quality.enforce(quality.column_widths(
-                spark, f"{places.raw}/{extraction}/{table}", table, layout_for(extraction)
-            ))
+    except registry_csv.CrookedRows as error:
+        quality.enforce(quality.crooked_rows(spark, error.shards))
         raise
     day = registry_csv.extraction_date(spark, f"{places.raw}/{extraction}", extraction)
     companies = write_companies(raw, day, places.companies(extraction), include_branches)
@@ -113,12 +126,7 @@ def run_month(spark: SparkSession, places: Places, extraction: str,
         companies, raw, day, [control_rules(spark, places, extraction)], bounds=bounds
     ).write.mode("overwrite").parquet(report)
     quality.enforce(spark.read.parquet(report))
-    merged = merge_extractions(
-        weekly_aggregate(companies, day),
-        aggregate_store.current(spark, places.aggregate), left_edge,
-        settled_before=first_week(day),
-    )
-    version = aggregate_store.publish(merged, places.aggregate)
+    version = publish_month(spark, weekly_aggregate(companies, day), day, places.aggregate, left_edge)
     size = aggregate_store.stored_bytes(aggregate_store.current(spark, places.aggregate))
     quality.aggregate_size(size).write.mode("append").parquet(report)
     return version

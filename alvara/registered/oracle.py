@@ -164,6 +164,9 @@ sql("staged_roundtrip", TABLES, """
 select emp.cnpj_basico, razao_social, descricao natureza_descricao, capital_social, porte,
   exists (select 1 from mei where mei.cnpj_basico = emp.cnpj_basico) eh_mei
 from emp left join nat on nat.codigo = emp.natureza_juridica""")
+sql("shard_facts", "", """
+select '2026-06' extracao, 'pedidos' tabela, count(*) linhas,
+  cast(2 * count(case when o_orderstatus = 'P' then 1 end) as bigint) trocados from orders""")
 sql("scrub_control_chars", "", r"""
 select o_orderkey,
   regexp_replace(case when o_orderstatus = 'P' then chr(128) || o_orderpriority || chr(159)
@@ -201,6 +204,7 @@ from slugs left join part on p_brand = codigo group by all""")
 # --- filters and projections ----------------------------------------------------
 
 sql("new_companies", TABLES + "," + companies("novas", OLD), "select * from novas")
+sql("new_companies_by_company", TABLES + "," + companies("novas", OLD), "select * from novas")
 sql("new_companies_with_branches", TABLES + "," + companies("novas", OLD, True),
     "select * from novas")
 sql("active_filter", TABLES, """
@@ -241,6 +245,7 @@ select unnest(arg_max(linha, vez)) from (
   from (select * from agg2 union all by name select * from agg) t)
 group by semana, uf, municipio_codigo, cnae_principal"""
 sql("merge_extractions", _two, _merged.format(turn="epoch(t.data_extracao)"))
+sql("merge_by_week", _two, _merged.format(turn="epoch(t.data_extracao)"))
 sql("merge_keeping_left_edge", _two,
     _merged.format(turn=f"epoch(t.data_extracao) + if(t.semana < t.data_extracao - {WINDOW}, 0, 1e12)"))
 sql("aggregate_summary", AGG, "select count(*) linhas, count(distinct semana) semanas from agg")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, numbers, text
 from ..operators import companies, measures, picks, quality, rankings, weekly
 from ..plans import captions as caption_plans
-from ..plans import catalogue, cuts
+from ..plans import catalogue, cuts, monthly
 from ..session import materialise, run_dir, tuned
 from ..sources import aggregate_store, dimensions, registry_csv
 from ..sources.layout import Layout, TableLayout, layout_for
@@ -91,6 +91,32 @@ def staged_roundtrip(a: Analog) -> DataFrame:
     ).select("cnpj_basico", "razao_social", "natureza_descricao", "capital_social", "porte", "eh_mei")
 
 
+@registered
+def new_companies_by_company(a: Analog) -> DataFrame:
+    """All tables staged from shards, laid out by company id, and joined without a shuffle."""
+    layout, root = _shards(a), run_dir(a.spark, "staging")
+    for name, df in a.raw().items():
+        _write_shards(df, layout.tables[name], f"{root}/raw/2026-06/{name}")
+    staged = registry_csv.stage(a.spark, f"{root}/raw", f"{root}/work", "2026-06", layout)
+    laid_out = registry_csv.by_company(a.spark, staged, f"{root}/work", "2026-06", 8)
+    return companies.new_companies(laid_out, analog.EXTRACTION)
+
+
+@registered
+def shard_facts(a: Analog) -> DataFrame:
+    """Rows and replaced control characters of orders written as shards, a shard a priority."""
+    spec = TableLayout(("o_orderkey", "t"), "*.csv", ())
+    layout = Layout({"pedidos": spec}, (), layout_for("2026-06").csv)
+    root = run_dir(a.spark, "staging")
+    control = F.concat(F.char(F.lit(128)), "o_orderpriority", F.char(F.lit(159)))
+    dirty = F.when(F.col("o_orderstatus") == "P", control).otherwise(F.col("o_orderpriority"))
+    _write_shards(a.table("orders").select("o_orderkey", dirty.alias("t")), spec, f"{root}/raw/2026-06/pedidos")
+    registry_csv.stage(a.spark, f"{root}/raw", f"{root}/work", "2026-06", layout)
+    facts = registry_csv.shard_facts(a.spark, f"{root}/work", "2026-06")
+    return facts.groupBy("extracao", "tabela").agg(
+        F.sum("linhas").alias("linhas"), F.sum("trocados").alias("trocados"))
+
+
 @registered
 def scrub_control_chars(a: Analog) -> DataFrame:
     control = F.concat(F.char(F.lit(128)), "o_orderpriority", F.char(F.lit(159)))
@@ -238,6 +264,16 @@ def merge_extractions(a: Analog) -> DataFrame:
     return weekly.merge_extractions(a.weekly(analog.NEWER_EXTRACTION), a.weekly())
 
 
+@registered
+def merge_by_week(a: Analog) -> DataFrame:
+    """The newer extraction published over the older one, week by week, and read back."""
+    root = run_dir(a.spark, "aggregate")
+    aggregate_store.publish(a.weekly(), root)
+    newer = a.weekly(analog.NEWER_EXTRACTION)
+    monthly.publish_month(a.spark, newer, analog.NEWER_EXTRACTION, root)
+    return aggregate_store.current(a.spark, root)
+
+
 @registered
 def merge_keeping_left_edge(a: Analog) -> DataFrame:
     return weekly.merge_extractions(

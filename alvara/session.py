@@ -18,6 +18,14 @@ SETTINGS = {
     # Split a hot key even where the next join then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A Bloom filter of the ids that passed the opening window, applied where the companies
+    # and the flags are scanned. Spark judges the filtered side by the size of its files,
+    # which the window cuts to a few percent, so its bound has to be that of the files; the
+    # filter itself is bounded by its items (8 MB of bits).
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64t",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
 }
 
 TARGET_PARTITION_BYTES = 128 << 20

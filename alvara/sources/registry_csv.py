@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from . import ledger, spanning
-from .layout import Layout, layout_for
+from .layout import Layout, TableLayout, layout_for
 
 BAD_ROW = "_bad_row"
 SOURCE_FILE = "_file"
+#: What staging notes of a row besides its columns.
+REPLACED, JOINED = "_replaced", "_joined"
 FILE_DATE = r"\.D(\d)(\d{2})(\d{2})\."
 
 
@@ -33,6 +35,17 @@ def unbalanced_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
+def _joined(spark: SparkSession, files: list[str], schema: T.StructType, options: dict) -> DataFrame:
+    """Rows of shards with values that span lines, and their file."""
+    found = spanning.records(spark, files, options["encoding"])
+    parsed = F.from_csv("record", schema.toDDL(), options)
+    return found.select(parsed.alias("_row"), F.col("file").alias(SOURCE_FILE)).select("_row.*", SOURCE_FILE)
+
+
+def _with_bad(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+
+
 def scan(spark: SparkSession, path: str, table: str, layout: Layout,
          mode: str = "FAILFAST", keep_bad: bool = False) -> DataFrame:
     """All shards of one table as text, control characters replaced by ``?``.
@@ -46,7 +59,7 @@ def scan(spark: SparkSession, path: str, table: str, layout: Layout,
     schema = spec.schema
     if keep_bad:
         options["columnNameOfCorruptRecord"] = BAD_ROW
-        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+        schema = _with_bad(schema)
 
     even, odd = [], []
     for row in unbalanced_files(spark, path, spec.glob).toLocalIterator():
@@ -59,12 +72,7 @@ def scan(spark: SparkSession, path: str, table: str, layout: Layout,
         # File metadata is only known directly above the read, not above a union.
         parts.append(plain.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE)))
     if odd:
-        found = spanning.records(spark, odd, layout.csv["encoding"])
-        parsed = F.from_csv("record", schema.toDDL(), options)
-        parts.append(
-            found.select(parsed.alias("_row"), F.col("file").alias(SOURCE_FILE))
-            .select("_row.*", SOURCE_FILE)
-        )
+        parts.append(_joined(spark, odd, schema, options))
     raw = reduce(DataFrame.unionByName, parts)
     cleaned = [text.scrub_controls(name).alias(name) for name in spec.columns]
     if keep_bad:
@@ -130,37 +138,141 @@ def extraction_date(spark: SparkSession, path: str, extraction: str) -> dt.date:
     return row.data_extracao
 
 
+class CrookedRows(ValueError):
+    """Rows of the wrong width: ``shards`` is a list of (table, file, bad rows)."""
+
+    def __init__(self, shards: list[tuple[str, str, int]]):
+        super().__init__(", ".join(f"{table}/{file}: {bad} rows" for table, file, bad in shards))
+        self.shards = shards
+
+
+def _parsed_lines(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
+    """Every line of a table's shards parsed on its own, with its file and its faults."""
+    spec = layout.tables[table]
+    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n")
+    line = F.decode(spanning.without_return("value").cast("binary"), layout.csv["encoding"])
+    options = dict(layout.csv, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
+    parsed = lines.select(
+        F.from_csv(line, _with_bad(spec.schema).toDDL(), options).alias("_row"),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        (spanning.needs_joining("value") == 1).alias(JOINED), F.trim(line).alias("_text"),
+    )
+    # A blank line is no row. The text goes no further.
+    return parsed.where(F.col(JOINED) | (F.col("_text") != "")).select("_row.*", SOURCE_FILE, JOINED)
+
+
+def _staged_rows(rows: DataFrame, spec: TableLayout) -> DataFrame:
+    """Cleaned columns, sorted inside each task as far as the layout asks for it.
+
+    Without a shuffle: the status and the opening window then skip most pages of a file.
+    """
+    replaced = sum((text.count_controls(name) for name in spec.columns), F.lit(0)).cast("long")
+    cleaned = rows.select(
+        *[text.scrub_controls(name).alias(name) for name in spec.columns],
+        replaced.alias(REPLACED), F.col(BAD_ROW).isNotNull().alias(BAD_ROW), JOINED, SOURCE_FILE)
+    return cleaned.sortWithinPartitions(SOURCE_FILE, *spec.clustered_by)
+
+
+def _facts(spark: SparkSession, target: str) -> DataFrame:
+    """Per shard: rows, rows that are no whole record, rows of the wrong width, replaced characters.
+
+    From four columns of what has been staged, which hold next to nothing.
+    """
+    kept = f"{SOURCE_FILE} string, {JOINED} boolean, {BAD_ROW} boolean, {REPLACED} long"
+    return spark.read.schema(kept).parquet(target).groupBy(SOURCE_FILE).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(JOINED).alias("odd"), F.count_if(BAD_ROW).alias("bad"),
+        F.sum(REPLACED).alias("replaced"))
+
+
+def _stage_table(spark: SparkSession, source: str, target: str, table: str, layout: Layout) -> list:
+    """Write one table in one pass over its shards; the facts of each shard.
+
+    Every line is first taken for a whole record. The shards for which that turns out
+    wrong are read again, their records put together, and replace what was written of them.
+    """
+    spec = layout.tables[table]
+
+    def write(rows: DataFrame) -> None:
+        _staged_rows(rows, spec).write.mode("overwrite").option("compression", "zstd") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_FILE).parquet(target)
+
+    # What an attempt that died left behind goes first: only whole tables are in the ledger.
+    spark.createDataFrame([], T.StructType([*spec.schema.fields])).write.mode("overwrite").parquet(target)
+    write(_parsed_lines(spark, source, table, layout))
+    facts = _facts(spark, target).collect()
+    odd = [f"{source}/{row[SOURCE_FILE]}" for row in facts if row.odd]
+    if odd:
+        options = dict(layout.csv, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
+        write(_joined(spark, odd, _with_bad(spec.schema), options).withColumn(JOINED, F.lit(False)))
+        facts = _facts(spark, target).collect()
+    bad = [(table, row[SOURCE_FILE], row.bad) for row in facts if row.bad]
+    if bad:
+        raise CrookedRows(bad)
+    return facts
+
+
 def stage(spark: SparkSession, raw_root: str, stage_root: str, extraction: str,
           layout: Layout | None = None) -> dict[str, DataFrame]:
     """CSV to Parquet once per table and extraction; returns the staged tables.
 
     A table counts as staged when the ledger says so, which is written after the
-    files. An attempt that died half-way left no entry and is overwritten.
+    files, with what was seen of each shard. An attempt that died half-way left no entry
+    and is overwritten. Rows of the wrong width raise ``CrookedRows`` with their shards.
     """
     layout = layout or layout_for(extraction)
     done_root = f"{stage_root}/staged"
-    done = {
-        row.tabela
-        for row in ledger.read(spark, done_root, STAGED)
-        .where(F.col("extracao") == extraction).select("tabela").distinct().toLocalIterator()
-    }
+    done = {row.tabela for row in shard_facts(spark, stage_root, extraction).select("tabela").distinct().toLocalIterator()}
     staged = {}
     for table, spec in layout.tables.items():
         target = f"{stage_root}/extracao={extraction}/{table}"
         if table not in done:
-            source = f"{raw_root}/{extraction}/{table}"
-            rows = scan(spark, source, table, layout)
-            if spec.clustered_by:
-                # A sort inside each task, without a shuffle: the status and the
-                # opening window then skip most pages of every file.
-                rows = rows.sortWithinPartitions(*spec.clustered_by)
-            rows.write.mode("overwrite").option("compression", "zstd").parquet(target)
-            ledger.append(spark, done_root, STAGED, [(extraction, table)])
-        staged[table] = spark.read.schema(spec.schema).parquet(target)
+            facts = _stage_table(spark, f"{raw_root}/{extraction}/{table}", target, table, layout)
+            ledger.append(spark, done_root, STAGED, [
+                (extraction, table, row[SOURCE_FILE], row.rows, row.replaced) for row in facts
+            ] or [(extraction, table, None, 0, 0)])
+        staged[table] = spark.read.schema(spec.schema).parquet(target).select(*spec.columns)
         staged[table].createOrReplaceTempView(table)
     return staged
 
 
+def shard_facts(spark: SparkSession, stage_root: str, extraction: str) -> DataFrame:
+    """(extracao, tabela, arquivo, linhas, trocados) of every staged shard that has rows."""
+    return ledger.read(spark, f"{stage_root}/staged", STAGED).where(F.col("extracao") == extraction)
+
+
+#: Tables that are joined by company, and the id they are joined by.
+COMPANY_ID, BY_COMPANY = "cnpj_basico", ("empresas", "estabelecimentos", "simples")
+
+
+def by_company(spark: SparkSession, staged: dict[str, DataFrame], stage_root: str, extraction: str,
+               buckets: int) -> dict[str, DataFrame]:
+    """The staged tables with those of companies laid out in ``buckets`` by company id.
+
+    One shuffle, once for each extraction; joins on the id over these tables then need
+    none, and no sort. Worth it where an extraction is joined more than once. The files
+    are found again through the ledger by later sessions with the same ``buckets``.
+    """
+    root = f"{stage_root}/by_company-{buckets}"
+    done = {r.tabela for r in shard_facts(spark, root, extraction).select("tabela").distinct().toLocalIterator()}
+    found = dict(staged)
+    for table in BY_COMPANY:
+        name = f"by_company_{buckets}_{table}_{extraction}".replace("-", "_")
+        target = f"{root}/extracao={extraction}/{table}"
+        spark.sql(f"drop table if exists {name}")  # the files of such a table stay
+        if table not in done:
+            staged[table].repartition(buckets, COMPANY_ID).write.mode("overwrite").option("path", target) \
+                .option("compression", "zstd").bucketBy(buckets, COMPANY_ID).sortBy(COMPANY_ID).saveAsTable(name)
+            ledger.append(spark, f"{root}/staged", STAGED, [(extraction, table, None, None, None)])
+        else:
+            spark.sql(
+                f"create table {name} ({staged[table].schema.toDDL()}) using parquet clustered by ({COMPANY_ID}) "
+                f"sorted by ({COMPANY_ID}) into {buckets} buckets location '{target}'")
+        found[table] = spark.table(name)
+    return found
+
+
 STAGED = T.StructType([
     T.StructField("extracao", T.StringType()), T.StructField("tabela", T.StringType()),
+    T.StructField("arquivo", T.StringType()), T.StructField("linhas", T.LongType()),
+    T.StructField("trocados", T.LongType()),
 ])

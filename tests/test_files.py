@@ -331,7 +331,7 @@ def test_aggregate_files_are_sorted_and_measured(spark, tmp_path):
     frame = spark.createDataFrame(rows, aggregate_store.AGGREGATE)
     aggregate_store.publish(frame, str(tmp_path), partitions=3)
     stored = aggregate_store.current(spark, str(tmp_path))
-    per_file = stored.select("semana", "uf", "cnae_principal", F.col("_metadata.file_name").alias("f"))
+    per_file = stored.select("semana", "uf", "cnae_principal", F.col("_metadata.file_path").alias("f"))
     by_file = {}
     for r in per_file.collect():
         by_file.setdefault(r.f, []).append((r.semana, r.uf, r.cnae_principal))
