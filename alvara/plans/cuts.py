@@ -8,10 +8,12 @@ entries are rows that join to the sums. The result is tidy::
 ``valor`` is what a chart would draw. ``valor_b`` is the second number of a row:
 the month total (board), the other sector or state (pairs, duels), the earlier
 month (growth), the leading state's position (per capita), a position (focus).
+A pair of sectors also has its fitted line, which is the same on all of its rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 from functools import cached_property, reduce
@@ -26,6 +28,8 @@ from ..sources.aggregate_store import Openings
 from .catalogue import Entry, Settings, as_frame, codes_frame
 
 TIDY = ["chave", "ordem", "rotulo", "detalhe", "valor", "valor_b", "n", "destaque"]
+#: The least-squares line of ``valor_b`` over ``valor`` with its two end points.
+LINE = ["inclinacao", "intercepto", "x_min", "y_min", "x_max", "y_max"]
 DUEL_ROWS = 5
 
 # Fewer rows than this and the entry has no data; 1 where not named.
@@ -234,6 +238,13 @@ def pairs(m: Month) -> DataFrame:
                 highlight=F.col("uf").isin(*m.settings.labelled_states))
 
 
+def lines(rows: DataFrame) -> DataFrame:
+    """The fitted line of each pair of sectors in tidy ``rows``."""
+    points = rows.where("familia = 'espuria'").select(
+        "chave", F.col("valor").alias("x"), F.col("valor_b").alias("y"))
+    return measures.trend_line(points, ["chave"]).select("chave", *LINE)
+
+
 FAMILIES: dict[str, Callable[[Month], DataFrame]] = {
     "percapita": rates,
     "assinatura": signatures,
@@ -274,21 +285,23 @@ def run(d: Openings, entries: Sequence[Entry], population: DataFrame,
             measures.QUOTIENT_FLOOR, measures.QUOTIENT_NATIONAL_FLOOR),
         growth_floor: int = measures.GROWTH_FLOOR,
         growth_ceiling: float = measures.GROWTH_CEILING,
-        duel_other_rows: int | None = None) -> DataFrame:
+        duel_other_rows: int | None = None, month: dt.date | None = None) -> DataFrame:
     """Rows of every entry, with ``status`` ``ok`` or ``no_data``.
 
+    ``month`` is the first day of the month to show, by default the last closed one.
     An entry without enough data keeps one row, so that no entry disappears and
     none can stop the others.
     """
-    month = Month(two_months(d), population, settings or Settings(), entries,
-                  quotient_floors, growth_floor, growth_ceiling, duel_other_rows)
+    d = d if month is None else replace(d, month=month)
+    m = Month(two_months(d), population, settings or Settings(), entries,
+              quotient_floors, growth_floor, growth_ceiling, duel_other_rows)
     if any(entry.codes for entry in entries):
-        month.sides = materialise(month.sides, "sides")
-    wanted = [family for family in FAMILIES if month.of(family)]
+        m.sides = materialise(m.sides, "sides")
+    wanted = [family for family in FAMILIES if m.of(family)]
     rows = materialise(reduce(DataFrame.unionByName, [
-        FAMILIES[family](month).withColumn("familia", F.lit(family)) for family in wanted
+        FAMILIES[family](m).withColumn("familia", F.lit(family)) for family in wanted
     ]), "cuts")
-    listed = as_frame(month.spark, entries)
+    listed = as_frame(m.spark, entries)
     labels = text.distinct_labels(
         rows.where(F.col("familia").isin(*DESCRIBED)), "rotulo", ["chave"]
     )
@@ -302,9 +315,10 @@ def run(d: Openings, entries: Sequence[Entry], population: DataFrame,
     kept = (
         rows.drop("familia").join(enough, "chave", "left_semi")
         .join(labels, ["chave", "rotulo"], "left")
+        .join(lines(rows), "chave", "left")
         .withColumn("detalhe", F.coalesce("label", "detalhe")).drop("label")
     )
-    return listed.join(kept.select(*TIDY), "chave", "left").select(
-        "fila", "posicao", "chave", "familia", *TIDY[1:],
+    return listed.join(kept.select(*TIDY, *LINE), "chave", "left").select(
+        "fila", "posicao", "chave", "familia", *TIDY[1:], *LINE,
         F.when(F.col("ordem").isNull(), "no_data").otherwise("ok").alias("status"),
     )

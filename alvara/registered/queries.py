@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
@@ -445,16 +446,22 @@ def trend_line(a: Analog) -> DataFrame:
     )
 
 
-def _all_cuts(a: Analog) -> DataFrame:
+def _all_cuts(a: Analog, month: dt.date | None = None) -> DataFrame:
     return cuts.run(
         a.openings(), catalogue.catalogue(analog.SETTINGS), a.population(), analog.SETTINGS,
-        analog.QUOTIENT_FLOORS, analog.GROWTH_FLOOR, analog.GROWTH_CEILING,
+        analog.QUOTIENT_FLOORS, analog.GROWTH_FLOOR, analog.GROWTH_CEILING, month=month,
     )
 
 
 @registered
 def all_cuts(a: Analog) -> DataFrame:
-    return rounded(_all_cuts(a), "valor", "valor_b")
+    return rounded(_all_cuts(a), "valor", "valor_b", *cuts.LINE)
+
+
+@registered
+def all_cuts_of_a_month(a: Analog) -> DataFrame:
+    """The whole catalogue for a month of choice, here the one before the last."""
+    return rounded(_all_cuts(a, analog.PREVIOUS), "valor", "valor_b", *cuts.LINE)
 
 
 @registered

@@ -4,13 +4,16 @@ Lines end at a line feed and nowhere else: what a value holds stays as it is, ca
 returns too. A line begins a record when an even number of quote characters precedes it in its
 shard. Splits count their own quotes; a running sum over the few splits of a shard
 tells each split whether it begins inside a value and how many records came before.
-Only the lines of spanning records are brought together.
+The count runs where the split is read, in the order of its lines. So only the lines of
+spanning records are shuffled; all others pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,19 +51,41 @@ def lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame
     )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to the lines of each split, in their order, whether an odd number of quotes
+    precedes them, and how many records began so far, should the split begin inside a value
+    (``begun_1``) or outside (``begun_0``)."""
+    split, quotes, seen, inside = None, 0, 0, 0
+    for batch in batches:
+        blocks, odd = batch.column(SPLIT[1]).to_numpy(), batch.column("odd").to_numpy()
+        paths = batch.column(SPLIT[0])
+        at = 0
+        inner, begun_0, begun_1 = (np.zeros(len(odd), np.int64) for _ in range(3))
+        while at < len(odd):
+            place = (paths[at].as_py(), blocks[at])
+            # a task reads its splits one after the other
+            same = np.flatnonzero(blocks[at:] != blocks[at])
+            end = at + (int(same[0]) if len(same) else len(odd) - at)
+            if paths[end - 1].as_py() != place[0]:  # two shards in the same block number
+                end = at + 1 + next(k for k in range(end - at - 1) if paths[at + 1 + k].as_py() != place[0])
+            if place != split:
+                split, quotes, seen, inside = place, 0, 0, 0
+            total = quotes + np.cumsum(odd[at:end])
+            inner[at:end] = (total - odd[at:end]) % 2
+            begun_1[at:end] = inside + np.cumsum(inner[at:end])
+            begun_0[at:end] = seen + np.arange(1, end - at + 1) - begun_1[at:end]
+            quotes, seen, inside = int(total[-1]), seen + end - at, int(begun_1[end - 1])
+            at = end
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *map(pa.array, (inner, begun_1, begun_0))],
+            [*batch.schema.names, "inner", "begun_1", "begun_0"])
+
+
 def records(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
     """One row ``(file, record)`` per record of the shards, blank lines left out."""
-    in_split = Window.partitionBy(*SPLIT).orderBy("at")
-    before = F.coalesce(
-        F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    # Records begun so far in the split, should it begin outside or inside a value.
-    counted = (
-        lines(spark, paths, encoding)
-        .withColumn("inner", before % 2)
-        .withColumn("begun_1", F.sum("inner").over(in_split))
-        .withColumn("begun_0", F.row_number().over(in_split) - F.col("begun_1"))
-    )
+    found = lines(spark, paths, encoding).withColumn("odd", F.col("odd").cast("long"))
+    kinds = ", ".join(f"{name} {kind}" for name, kind in found.dtypes)
+    counted = found.mapInArrow(_counted, f"{kinds}, inner long, begun_1 long, begun_0 long")
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -7,7 +7,7 @@ from test_files import LAYOUT, shard, write_month
 from alvara.operators.companies import new_companies
 from alvara.plans import monthly
 from alvara.registered.analog import EXTRACTION, Analog
-from alvara.sources import registry_csv
+from alvara.sources import registry_csv, spanning
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,6 +67,23 @@ def test_only_shards_with_spanning_values_are_read_again(spark, tmp_path, ending
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.collect()))
 
 
+def test_only_spanning_lines_are_shuffled(spark, tmp_path):
+    text = "".join(f'"{i}";"{"a" * 50}"\n' for i in range(3000)) + '"x";"1\n2\n3"\n' + '"y";"4\n5"\n'
+    (tmp_path / "a.csv").write_text(text)
+    (tmp_path / "b.csv").write_text('"z";"6\n7"\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        found = spanning.records(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], "ISO-8859-1")
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 3003 and {r.record for r in rows} >= {'"x";"1\n2\n3"', '"y";"4\n5"', '"z";"6\n7"'}
+    shuffled = [n for n in nodes(found._jdf.queryExecution().executedPlan()) if n.nodeName() == "Exchange"]
+    written = [n.metrics().apply("shuffleRecordsWritten").value() for n in shuffled]
+    assert written and max(written) < 100
+
+
 def test_crooked_rows_are_named_from_the_same_pass(spark, tmp_path):
     raw = tmp_path / "raw" / "2026-06"
     for table, spec in LAYOUT.tables.items():
