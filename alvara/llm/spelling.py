@@ -32,6 +32,8 @@ EDITS, GRAM = 1, 2
 PREFIX = GRAM * EDITS + 1
 #: Grams of one kind that one edit can add.
 SHIFT = GRAM * EDITS
+#: An equal side of so many letters is looked up with half of the other side.
+SHORT = 4
 
 
 def _altered(word: Column, doc_id: Column) -> Column:
@@ -79,28 +81,38 @@ def pivotal(costs: list[int], ranks: list[int]) -> tuple[list[int], tuple[int, i
 _INDEX = "key long, pivot boolean, word string, n long, reach int"
 
 
+def lookups(word: str, at: int, left: bool, length: int) -> list[str]:
+    """What a word of ``length`` is filed under and ``word`` looks up, if both are equal up
+    to the gram at ``at`` (``left``) or from it on.
+
+    One edit in the rest leaves its first half as it is, or what lies more than one
+    letter behind that half.
+    """
+    equal, rest = (word[:at + GRAM], word[at + GRAM:]) if left else (word[at:], word[:at])
+    name = f"{length}{'<' if left else '>'}{equal}"
+    if len(equal) > SHORT:
+        return [name]
+    half = (length - len(equal)) // 2
+    return [f"{name} {rest[:half]}<", f"{name} {rest[len(word) - length + half + 1:]}>"]
+
+
 def _index(order: dict[str, tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, pivot, word, seen, reaches = [], [], [], [], []
-
-            def add(length: int, side: str, equal: str, is_pivot: bool) -> None:
-                keys.append(xxhash.xxh64_intdigest(f"{length}{side}{equal}".encode()) - 2**63)
-                pivot.append(is_pivot)
-                word.append(w)
-                seen.append(n)
-                reaches.append(reach)
-
             for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ranks, costs = zip(*[order[w[i:i + GRAM]] for i in range(len(w) - GRAM + 1)])
                 prefix, pivots, reach = pivotal(costs, ranks)
-                for i in prefix:
-                    add(len(w), "<", w[:i + GRAM], False)
-                    add(len(w), ">", w[i:], False)
-                for i in pivots:
-                    for length in range(len(w) - EDITS, len(w) + EDITS + 1):
-                        add(length, "<", w[:i + GRAM], True)
-                        add(length, ">", w[i:], True)
+                around = range(len(w) - EDITS, len(w) + EDITS + 1)
+                places = [(i, left, len(w), False) for i in prefix for left in (True, False)]
+                places += [(pivots[side], not side, length, True) for side in (0, 1) for length in around]
+                for i, left, length, is_pivot in places:
+                    for name in lookups(w, i, left, length):
+                        keys.append(xxhash.xxh64_intdigest(name.encode()) - 2**63)
+                        pivot.append(is_pivot)
+                        word.append(w)
+                        seen.append(n)
+                        reaches.append(reach)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(pivot, pa.bool_()), pa.array(word, pa.string()),
                  pa.array(seen, pa.int64()), pa.array(reaches, pa.int32())],
