@@ -9,6 +9,7 @@ flattened into three arrays; a batch of rows walks all trees level by level.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,7 @@ TREES, DEPTH, BINS = 80, 4, 64
 RATE, RIDGE, LEAST_WEIGHT = 0.15, 1.0, 2.0
 CUT = 0.3
 FOLDS = 5
+_PARTS = 1 << 31
 
 NAMES = (
     "bytes", "words", "lines", "word_bytes", "longest_word", "upper", "digits", "symbols", "marks", "stops",
@@ -153,11 +155,16 @@ def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees |
     """Trees from ``stats`` (doc_id, stats) and ``labels`` (doc_id, quality); None without labels.
 
     Labels other than 0 and 1 take no part; a doc_id that is repeated in either table
-    counts once for each distinct statistics and label.
+    counts once for each distinct statistics and label. If there are more than ``sample``
+    rows, a cut by the hash of the id, at a share that their number gives, comes first, so
+    that no task offers ``sample`` rows of its own.
     """
     known = tidy(labels, doc_id="long", quality="int").where("quality in (0, 1) and doc_id is not null").distinct()
     rows = stats.join(known.where(~held_out(F.col("doc_id"))), "doc_id").select("doc_id", "quality", "stats").distinct()
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "stats").limit(sample).collect()
+    rows = materialise(rows.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS))), "labelled")
+    share = 1.2 * sample / max(1, rows.count())
+    rows = rows.where(F.col("at") < F.lit(math.ceil(share * _PARTS)))
+    rows = rows.orderBy("at", "doc_id", "quality", "stats").limit(sample).collect()
     if not rows:
         return None
     return train(np.array([r["stats"] for r in rows]), np.array([r["quality"] for r in rows], float))
