@@ -212,7 +212,6 @@ with split as (
   select * from every where word <> ''
 ), vocabulary as (
   select word, row_number() over (order by count(*) desc, encode(word)) number from places group by word
-  qualify number <= {VOCABULARY}
 ), numbered as (
   select doc_id, place, coalesce(number, 0) number from places left join vocabulary using (word)
 ), single as (
