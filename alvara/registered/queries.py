@@ -14,7 +14,7 @@ from ..operators import companies, measures, picks, quality, rankings, weekly
 from ..plans import captions as caption_plans
 from ..plans import catalogue, cuts, monthly
 from ..session import materialise, run_dir, tuned
-from ..sources import aggregate_store, dimensions, registry_csv
+from ..sources import aggregate_store, dimensions, manifest, registry_csv
 from ..sources.layout import Layout, TableLayout, layout_for
 from . import analog
 from .analog import Analog
@@ -175,6 +175,47 @@ def sector_dimension(a: Analog) -> DataFrame:
     )
 
 
+@registered
+def companies_roundtrip(a: Analog) -> DataFrame:
+    """New companies as the monthly run stores them, read back."""
+    return monthly.write_companies(a.raw(), analog.EXTRACTION, run_dir(a.spark, "companies"))
+
+
+@registered
+def aggregate_size(a: Analog) -> DataFrame:
+    """The size rule of the published aggregate, under two limits."""
+    size = aggregate_store.stored_bytes(a.openings().cells)
+    both = [quality.aggregate_size(size, limit) for limit in (quality.AGGREGATE_WARNING_BYTES, 1)]
+    return both[0].unionByName(both[1]).select("rule", "expected", "severity", "ok")
+
+
+@registered
+def manifest_roundtrip(a: Analog) -> DataFrame:
+    """A manifest of the orders' clerks' work, an archive a priority, as JSON and back."""
+    files = a.table("orders").groupBy(F.col("o_orderpriority").alias("nome")).agg(
+        F.count(F.lit(1)).alias("bytes"), F.sha2(F.max("o_orderpriority"), 256).alias("sha256"))
+    path = run_dir(a.spark, "manifest")
+    manifest.build(files, "2026-06", "https://example.org/").coalesce(1).write.json(path)
+    return manifest.read(a.spark, path)
+
+
+@registered
+def scan_layouts(a: Analog) -> DataFrame:
+    """Orders in two dumps with unlike columns, read as one relation."""
+    csv = layout_for("2026-06").csv
+    old = Layout({"pedidos": TableLayout(("chave", "prioridade"), "*.csv", ())}, (), csv)
+    new = Layout({"pedidos": TableLayout(("prioridade", "situacao", "id"), "*.csv", (), renamed=(("id", "chave"),))}, (), csv)
+    orders, root = a.table("orders"), run_dir(a.spark, "layouts")
+    late = F.col("o_orderkey") % 3 == 0
+    named = orders.select(
+        "o_orderkey", F.col("o_orderkey").alias("chave"), F.col("o_orderkey").alias("id"),
+        F.col("o_orderpriority").alias("prioridade"), F.col("o_orderstatus").alias("situacao"))
+    for month, layout, rows in (("2026-05", old, named.where(~late)), ("2026-06", new, named.where(late))):
+        _write_shards(rows, layout.tables["pedidos"], f"{root}/{month}/pedidos")
+    return registry_csv.scan_history(
+        a.spark, root, "pedidos", {"2026-05": old, "2026-06": new}, ["chave", "prioridade", "situacao"])
+
+
 # --- filters and projections ----------------------------------------------------
 
 
@@ -472,9 +513,8 @@ def caption_length(a: Analog) -> DataFrame:
     return quality.with_lengths(written.select("chave", "texto", "alt", "credito"))
 
 
-@registered
-def next_unused(a: Analog) -> DataFrame:
-    """Customers queue up per nation and segment.
+def _queues(a: Analog) -> tuple[DataFrame, DataFrame]:
+    """Customers queue up per nation and segment: the entries and their uses.
 
     By nation, queues are fresh, partly used, used up but for late entries in one
     segment, and in their second cycle.
@@ -494,8 +534,22 @@ def next_unused(a: Analog) -> DataFrame:
         | ((F.col("_state") == 2) & ~late)
     ).withColumn("ciclo", F.lit(1))
     second = entries.where((F.col("_state") == 3) & (part == 1)).withColumn("ciclo", F.lit(2))
-    used = first.unionByName(second).select("extracao", "fila", "ciclo", "chave")
-    return picks.next_unused(entries, used)
+    return entries, first.unionByName(second).select("extracao", "fila", "ciclo", "chave")
+
+
+@registered
+def next_unused(a: Analog) -> DataFrame:
+    return picks.next_unused(*_queues(a))
+
+
+@registered
+def recorded_uses(a: Analog) -> DataFrame:
+    """What comes next in each queue, recorded in two deliveries and read back."""
+    root = run_dir(a.spark, "uses")
+    chosen = picks.next_unused(*_queues(a))
+    for part in ("extracao < 'NATION_2'", "extracao >= 'NATION_2'"):
+        picks.record_use(chosen.where(part), root)
+    return picks.read_uses(a.spark, root)
 
 
 # --- scalar functions -----------------------------------------------------------

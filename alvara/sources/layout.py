@@ -18,6 +18,8 @@ class TableLayout:
     archives: tuple[str, ...]
     #: Columns that staged files are sorted by, file by file, for page skipping.
     clustered_by: tuple[str, ...] = ()
+    #: (own name, name in the relation of all layouts) of columns that are called otherwise there.
+    renamed: tuple[tuple[str, str], ...] = ()
 
     @property
     def schema(self) -> T.StructType:

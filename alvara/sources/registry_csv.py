@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -138,6 +139,32 @@ def extraction_date(spark: SparkSession, path: str, extraction: str) -> dt.date:
     return row.data_extracao
 
 
+def in_common(rows: DataFrame, spec: TableLayout, columns: Sequence[str]) -> DataFrame:
+    """Rows of one layout with the named columns; one that the layout lacks is NULL."""
+    own = {common: name for name, common in spec.renamed}
+    present = {own.get(name, name): name for name in columns}
+    return rows.select(*[
+        (F.col(source) if source in rows.columns else F.lit(None).cast("string")).alias(name)
+        for source, name in present.items()
+    ])
+
+
+def scan_history(spark: SparkSession, raw_root: str, table: str, layouts: Mapping[str, Layout] | Sequence[str],
+                 columns: Sequence[str]) -> DataFrame:
+    """One table of several extractions as one relation: ``extracao`` and ``columns``.
+
+    ``layouts``: extractions, or extractions with their layouts. Each dump is read by the
+    layout of its time, whose columns are brought to common names.
+    """
+    if not isinstance(layouts, Mapping):
+        layouts = {extraction: layout_for(extraction) for extraction in layouts}
+    parts = []
+    for extraction, layout in layouts.items():
+        rows = in_common(scan(spark, f"{raw_root}/{extraction}/{table}", table, layout), layout.tables[table], columns)
+        parts.append(rows.select(F.lit(extraction).alias("extracao"), *columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
 class CrookedRows(ValueError):
     """Rows of the wrong width: ``shards`` is a list of (table, file, bad rows)."""
 
