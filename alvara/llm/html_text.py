@@ -58,6 +58,10 @@ OTHER_MARK = re.compile(
     r"masthead|footer|comments?|commentlist|disqus|replies|reply|notices?|cookies?|consent|popup|modal|newsletter|"
     r"subscribe|share|sharing|social|related|widgets?|forms?|login|search|toolbar|complementary|navigation|"
     r"contentinfo|alert)(?:$|[\s_-])", re.I)
+#: Tags that words of class or id never leave out: they tell how a page or heading looks.
+FRAME = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
+OTHER_ARTICLE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|replies|reply|related|widgets?)(?:$|[\s_-])", re.I)
 ARTICLE_MARK = re.compile(
     r"(?:^|[\s_-])(?:article|main|content|post|entry|story)(?:$|[\s_-]body|[\s_-]content|[\s_-]text|\s)", re.I)
 
@@ -102,7 +106,9 @@ class Token:
     @property
     def other(self) -> bool:
         """Whether this opening tag names something that isn't the article."""
-        return self.name in DROPPED or bool(self.marks) and bool(OTHER_MARK.search(self.values))
+        if self.name in DROPPED or not self.marks or self.name in FRAME:
+            return self.name in DROPPED
+        return bool((OTHER_ARTICLE if self.name == "article" else OTHER_MARK).search(self.values))
 
     @property
     def article(self) -> bool:

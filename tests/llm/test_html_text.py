@@ -105,3 +105,14 @@ def test_a_long_shared_menu_ahead_of_the_article(spark):
         [(k, "http://site.example/", p) for k, p in enumerate(pages)], "page_id long, url string, html string"))
     assert len(found.where("host = 'site.example'").first()["root"]) > 3_000
     assert extracted(spark, pages) == {k: f"Body {k}." for k in range(6)}
+
+
+def test_words_of_a_frame_leave_nothing_out():
+    for page in (
+        '<body class="has-sidebar"><article><p>Text.</p></article></body>',
+        '<article class="post nav-enabled"><p>Text.</p></article>',
+        '<main class="with-menu"><p>Text.</p></main>',
+        '<body class="with-menu"><article><h2 id="market-share">Text.</h2></article></body>',
+        '<article><h2 class="section-header">Text.</h2></article><article class="comment"><p>First!</p></article>',
+    ):
+        assert H.article_text(page, [], []) == "Text."
