@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 
 from .common import materialise, table, tidy
 
-#: The limit that ``OP3_SQL`` states; the query has none.
-VOCABULARY = 65_535
 ORDER = 2
 LEAST = 1
 BACKOFF = 0.4
