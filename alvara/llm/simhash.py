@@ -157,13 +157,12 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE
         "doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, all columns.
+def keep_smallest(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``groups`` (doc_id, component_id) names as its group's smallest.
 
     Of several rows with that doc_id one stays. Rows without doc_id always stay. Texts
     are only shuffled where the ids to be dropped are too many to be broadcast.
     """
-    groups = simhash_groups(docs.where("doc_id is not null"), radius, shingle)
     ids = materialise(groups.groupBy("doc_id").agg(
         F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "ids")
     once = docs.join(materialise(ids.where("not stays or n > 1").select("doc_id"), "other_ids"), "doc_id", "left_anti")
@@ -172,6 +171,11 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
         docs.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
 
 
+def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its group, all columns (``keep_smallest``)."""
+    return keep_smallest(docs, simhash_groups(docs.where("doc_id is not null"), radius, shingle))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"))
     return groups.select(
