@@ -34,6 +34,8 @@ SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 #: Segments that a worker's table gains before those not used since are dropped; it never
 #: holds more than twice as many.
 KEPT = 150_000
+#: Characters of such segments, likewise; a longer segment than LONGEST isn't kept beyond its rows.
+CHARACTERS, LONGEST = 3_000_000, 200
 #: Rows of a piece of a batch; bounds what is held between texts and ids.
 ROWS = 256
 
@@ -133,14 +135,17 @@ class Encoded(dict):
 
     def __init__(self, words: Vocabulary):
         super().__init__()
-        self.words, self.new, self.older = words, {}, {}
+        self.words, self.new, self.older, self.characters = words, {}, {}, 0
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
         found = self.older.get(segment)
         if found is None:
-            ids = self.new[segment] = self.words.ids(segment)
+            ids = self.new.get(segment) or self.words.ids(segment)
+            self.new[segment] = ids
             found = tuple(ids)
-        self[segment] = found
+        if len(segment) <= LONGEST:
+            self[segment] = found
+            self.characters += len(segment)
         return found
 
     def settle(self) -> None:
@@ -148,9 +153,10 @@ class Encoded(dict):
         if self.new:
             self.words.check(self.new)
             self.new = {}
-        if len(self) > KEPT:
+        if len(self) > KEPT or self.characters > CHARACTERS:
             self.older = dict(self)
             self.clear()
+            self.characters = 0
 
 
 @lru_cache(maxsize=4)

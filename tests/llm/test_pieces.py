@@ -59,3 +59,32 @@ def test_query(spark):
         ids = [*library.encode(text or ""), library.eos_id()]
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_table_is_bounded_by_characters():
+    """Unspaced texts are one segment each; they are encoded rightly and not kept."""
+    import random
+    import tracemalloc
+
+    rng, path = random.Random(3), pieces.piece_model()
+    known = pieces.Encoded(pieces.vocabulary(path))
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in [150] * 1_500 + [2_000] * 150]
+    tracemalloc.start()
+    for at in range(0, len(texts), 50):
+        for text in texts[at:at + 50]:
+            found = [i for s in known.words.segments(text) for i in known[s]]
+            assert found == known.words.library.encode(text)
+        known.settle()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert not any(len(s) > pieces.LONGEST for s in known) and len(known) >= 1_500
+    assert held < 40 << 20
+
+
+def test_table_starts_anew_beyond_its_characters(monkeypatch):
+    monkeypatch.setattr(pieces, "CHARACTERS", 500)
+    known = pieces.Encoded(pieces.vocabulary(pieces.piece_model()))
+    for k in range(300):
+        assert list(known[f"▁word{k}"]) == known.words.library.encode(f"word{k}")
+        known.settle()
+        assert known.characters <= 510
