@@ -36,6 +36,8 @@ BLOCK = 256
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; scaled first, since squares of extreme components leave the range."""
+    vectors = vectors / np.abs(vectors).max(1, keepdims=True)
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 

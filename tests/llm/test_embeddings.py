@@ -65,6 +65,14 @@ def test_few_and_no_rows(spark):
         [(None, None, None, None), (1, 1, 1, True), (1, 1, 1, True)], key=str)
 
 
+def test_extreme_components(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [1.01e200, 2e200], 1), (3, [1e-200, 2e-200], 1), (4, [0.01, 1.0], 1),
+            (5, [5e-324, 0.0], 2), (6, [1e308, 1e300], 2)]
+    found = E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
 def test_query(spark):
     import duckdb
 
