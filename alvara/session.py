@@ -30,6 +30,10 @@ SETTINGS = {
 
 TARGET_PARTITION_BYTES = 128 << 20
 
+#: Spark's own setting: an ended execution's shuffle files go at once, not at the driver's next
+#: collection of garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def tuned(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     """Apply the settings; ``shuffle_bytes`` sizes the shuffles of a large run.
@@ -70,8 +74,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
     Used where several plans read one result: the lineage ends in Parquet, so
-    later reads prune columns, push filters, and know the true size.
+    later reads prune columns, push filters, and know the true size. The shuffle
+    files behind it are not needed once it is written, so disks hold either them or
+    the result's input, never those of all steps.
     """
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
