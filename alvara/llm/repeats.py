@@ -15,12 +15,15 @@ positions are settled with the names of the sample, and what is adjacent is comp
   to no repeated string. If an equal name has an equal context elsewhere, all windows of
   both are repeated.
 * Remaining. A context that occurs once under a name with several contexts lies at the
-  border of a repeated passage. Its windows, and those of one example of every other
-  context of that name, are brought together by name; those found twice are repeated.
+  border of a repeated passage. It is shipped once, as its bytes, with one example of
+  every other context of that name; tasks sort the windows of whole names and compare
+  adjacent ones byte by byte. Those found twice are repeated.
 
 Names are digests instead of ranks: no name has to be numbered over the whole corpus, so
-the recursion needs no shuffle (README has the figures that ask for this). Two windows
-count as equal if 128 bits, the names of 100 and of 200 bytes, are equal.
+the recursion needs no shuffle (README has the figures that ask for this). They only say
+what is compared. Windows of borders are equal if their 200 bytes are; contexts, if 128
+bits of a digest of all their bytes are, and so are windows of names with more than
+``GROUP`` contexts, which are too many for one task and are counted by a shuffle.
 
 Equal texts are folded first. Nothing is gathered but the marks of one text.
 """
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +46,12 @@ SAMPLE = 100
 PIECE = 1 << 21
 #: Bits of the map that spares names that occur once the shuffle: 8 MB, whatever the input.
 BITS = 1 << 26
+#: Contexts of one name that a task takes at most (of up to 300 bytes each).
+GROUP = 20_000
+#: Bytes of whole names that a task sorts at once, but for a larger name.
+CHUNK = 1 << 20
+#: Windows compared byte by byte at once.
+COMPARED = 1 << 14
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 _32, _29 = np.uint64(32), np.uint64(29)
@@ -133,44 +143,123 @@ def _contexts(names):
             h, c, row, lo, hi = [], [], [], [], []
             for k, text in enumerate(batch.column("data")):
                 for at, data in pieces(text.as_py()):
-                    name = prefixes(data)
-                    own, first, last = sampled(name)
+                    own, first, last = sampled(prefixes(data))
                     place = own & np.uint64(BITS - 1)
                     some = (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
                     own, first, last = own[some], first[some], last[some]
                     if not len(own):
                         continue
-                    whole = windows(name)
+                    view = memoryview(data)
+                    digests = b"".join(
+                        xxhash.xxh3_128_digest(view[x:y + LENGTH]) for x, y in zip(first.tolist(), last.tolist()))
                     h.append(own)
-                    c.append(named(whole[first], whole[last], (last - first).astype(np.uint64)))
+                    c.append(np.frombuffer(digests, np.int64).reshape(-1, 2))
                     row.append(np.full(len(own), k))
                     lo.append(at + first)
                     hi.append(at + last)
             if h:
-                row = pa.array(np.concatenate(row))
+                row, c = pa.array(np.concatenate(row)), np.concatenate(c)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(h).view(np.int64)), pa.array(np.concatenate(c).view(np.int64)),
+                    pa.array(np.concatenate(h).view(np.int64)), pa.array(c[:, 0].copy()), pa.array(c[:, 1].copy()),
                     batch.column("t1").take(row), batch.column("t2").take(row),
                     pa.array(np.concatenate(lo).astype(np.int32)), pa.array(np.concatenate(hi).astype(np.int32))],
-                    ["h", "c", "t1", "t2", "lo", "hi"])
+                    ["h", "c1", "c2", "t1", "t2", "lo", "hi"])
     return run
 
 
-def _window_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the windows of the listed contexts (h, c, lo, hi, n) of each text."""
-    schema = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("c", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
+def _context_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The listed contexts (h, k, lo, hi, n) of each text, with their bytes."""
+    names = ["h", "k", "n", "t1", "t2", "lo", "data"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     for batch in batches:
-        columns = [[] for _ in schema]
-        for text, listed in zip(batch.column("data"), batch.column("listed")):
-            text = text.as_py()
-            for x in listed.as_py():
-                name = prefixes(np.frombuffer(text, np.uint8, x["hi"] - x["lo"] + LENGTH, x["lo"]))
-                w = windows(name).view(np.int64)
-                for column, value in zip(columns, (x["h"], w, x["c"], np.arange(x["lo"], x["hi"] + 1), x["n"])):
-                    column.append(np.broadcast_to(value, len(w)))
-        if columns[0]:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(f.type.to_pandas_dtype())) for c, f in zip(columns, schema)], schema=schema)
+        rows = []
+        for t1, t2, text, listed in zip(*(batch.column(x) for x in ("t1", "t2", "data", "listed"))):
+            t1, t2, text = t1.as_py(), t2.as_py(), text.as_py()
+            rows += [(x["h"], x["k"], x["n"], t1, t2, x["lo"], text[x["lo"]:x["hi"] + LENGTH]) for x in listed.as_py()]
+        for at in range(0, len(rows), 10_000):
+            columns = zip(*rows[at:at + 10_000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def found_twice(data: np.ndarray, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Which of the windows that start at ``at`` have bytes found more than once, each counted ``times``."""
+    name = windows(prefixes(data))[at]
+    order = np.argsort(name, kind="stable")
+    view = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+
+    def equal() -> np.ndarray:
+        """Whether each window in order has the bytes of the one before."""
+        out = np.zeros(len(order), bool)
+        ask = 1 + np.nonzero(name[order[1:]] == name[order[:-1]])[0]
+        for k in range(0, len(ask), COMPARED):
+            some = ask[k:k + COMPARED]
+            out[some] = (view[at[order[some]]] == view[at[order[some - 1]]]).all(axis=1)
+        return out
+
+    same = equal()
+    run = np.concatenate([[0], np.cumsum(name[order[1:]] != name[order[:-1]])])
+    mixed = np.unique(run[1:][~same[1:] & (run[1:] == run[:-1])])
+    for r in mixed:  # a name of unlike windows: their bytes give the order
+        where = np.nonzero(run == r)[0]
+        order[where] = sorted(order[where], key=lambda x: view[at[x]].tobytes())
+    if len(mixed):
+        same = equal()
+    group = np.cumsum(~same) - 1
+    out = np.zeros(len(at), bool)
+    out[order] = (np.bincount(group, times[order]) > 1)[group]
+    return out
+
+
+def _ranges(rows: pa.Table) -> pa.RecordBatch:
+    """(t1, t2, lo, hi): ranges of repeated windows of contexts that occur once, from all contexts of some names."""
+    rows = rows.combine_chunks()
+    n, lo = rows.column("n").to_numpy(), rows.column("lo").to_numpy()
+    texts = rows.column("data").chunk(0)
+    edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0]:edges[-1]]
+    edges = edges - edges[0]
+    many = np.diff(edges) - LENGTH + 1
+    owner = np.repeat(np.arange(len(n)), many)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    twice = found_twice(data, edges[owner] + inside, n[owner]) & (n[owner] == 1)
+    owner, at = owner[twice], (lo[owner] + inside)[twice]
+    cut = np.nonzero((owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1))[0]
+    first, last = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(at) - 1]])
+    if not len(at):
+        first = last = np.zeros(0, np.int64)
+    whose = pa.array(owner[first])
+    return pa.RecordBatch.from_arrays(
+        [*(rows.column(t).chunk(0).take(whose) for t in ("t1", "t2")),
+         pa.array(at[first].astype(np.int32)), pa.array(at[last].astype(np.int32))], ["t1", "t2", "lo", "hi"])
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of repeated windows, from contexts in the order of their names."""
+    left = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        left = rows if left is None else pa.concat_tables([left, rows])
+        if left.nbytes < CHUNK:
+            continue
+        h = left.column("h").to_numpy()
+        ends = np.nonzero(h[1:] != h[:-1])[0]
+        if len(ends):  # the last name may go on in the next batch
+            yield _ranges(left.slice(0, ends[-1] + 1))
+            left = left.slice(ends[-1] + 1)
+    if left is not None and left.num_rows:
+        yield _ranges(left)
+
+
+def _counted(border: DataFrame) -> DataFrame:
+    """What ``_settle`` gives, window by window, by counts of their digests: names of any number of contexts."""
+    windows_ = border.select(
+        "n", "t1", "t2", "lo", "data", F.explode(F.expr(f"sequence(0, length(data) - {LENGTH})")).alias("i")).select(
+        "n", "t1", "t2", (F.col("lo") + F.col("i")).alias("lo"),
+        F.unhex(F.md5(F.expr(f"substring(data, i + 1, {LENGTH})"))).alias("w"))
+    twice = windows_.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
+    return windows_.where("n = 1").join(twice, "w", "left_semi").select("t1", "t2", "lo", F.col("lo").alias("hi"))
 
 
 def covered(size: int, marks: list[dict] | None, whole: bool) -> list[tuple[int, int]]:
@@ -227,20 +316,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts.mapInArrow(_sample_names, "h long").groupBy("h").count().where("count > 1").select("h"), "often")
     bits = docs.sparkSession.sparkContext.broadcast(marked(often))
     seen = materialise(texts.mapInArrow(
-        _contexts(bits), "h long, c long, t1 long, t2 long, lo int, hi int").join(often, "h", "left_semi"), "seen")
-    contexts = materialise(seen.groupBy("h", "c").agg(
+        _contexts(bits), "h long, c1 long, c2 long, t1 long, t2 long, lo int, hi int").join(often, "h", "left_semi"), "seen")
+    context = ["h", "c1", "c2"]
+    contexts = materialise(seen.groupBy(*context).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("at")), "contexts")
-    several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    border = materialise(contexts.join(several, "h", "left_semi"), "border")
-    listed = border.groupBy(F.col("at.t1").alias("t1"), F.col("at.t2").alias("t2")).agg(
-        F.collect_list(F.struct("h", "c", "at.lo", "at.hi", F.least("n", F.lit(2)).cast("int").alias("n"))).alias("listed"))
-    names = materialise(texts.join(listed, key).select("data", "listed").mapInArrow(
-        _window_names, "h long, w long, c long, at int, n int"), "window_names")
-    twice = names.groupBy("h", "w").agg(F.sum("n").alias("n")).where("n > 1").select("h", "w")
-    late = names.where("n = 1").join(twice, ["h", "w"], "left_semi")
-    alone = border.where("n = 1").select("h", "c", "at.t1", "at.t2")
-    marks = seen.join(contexts.where("n > 1").select("h", "c"), ["h", "c"], "left_semi").select(*key, "lo", "hi").unionByName(
-        late.join(alone, ["h", "c"]).select(*key, F.col("at").alias("lo"), F.col("at").alias("hi")))
+    several = contexts.groupBy("h").agg(
+        F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("h", "k")
+    listed = contexts.join(several, "h").groupBy(F.col("at.t1").alias("t1"), F.col("at.t2").alias("t2")).agg(
+        F.collect_list(F.struct("h", "k", "at.lo", "at.hi", F.least("n", F.lit(2)).cast("int").alias("n"))).alias("listed"))
+    border = materialise(texts.join(listed, key).mapInArrow(
+        _context_bytes, "h long, k long, n int, t1 long, t2 long, lo int, data binary"), "border")
+    settled = border.where(F.col("k") <= GROUP).select("h", "n", *key, "lo", "data").repartition("h").sortWithinPartitions(
+        "h").mapInArrow(_settle, "t1 long, t2 long, lo int, hi int")
+    marks = seen.join(contexts.where("n > 1").select(*context), context, "left_semi").select(*key, "lo", "hi").unionByName(
+        settled).unionByName(_counted(border.where(F.col("k") > GROUP)))
     marks = marks.groupBy(*key).agg(F.collect_list(F.struct("lo", "hi")).alias("marks"), F.lit(False).alias("whole"))
     marks = marks.join(copies, key, "left_anti").unionByName(copies.select(
         *key, F.lit(None).cast("array<struct<lo:int,hi:int>>").alias("marks"), F.lit(True).alias("whole")))
