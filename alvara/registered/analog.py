@@ -114,11 +114,15 @@ class Analog:
     @cache
     def establishments(self) -> DataFrame:
         """All establishments; what the window leaves out is the operators' business."""
-        joined = (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # Orders meet their customers before the line items, which are then shuffled once less.
+        owned = (
+            self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        )
+        joined = (
+            self.table("lineitem")
+            .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
         )
         pending, final = F.col("o_orderstatus") == "P", F.col("l_linestatus") == "F"

@@ -52,12 +52,11 @@ def _shards(a: Analog) -> Layout:
 
 
 def _write_shards(df: DataFrame, spec: TableLayout, path: str) -> None:
-    """A raw table as headerless shards, missing columns empty, quotes doubled."""
+    """A raw table as headerless shards, missing columns empty, quotes doubled; a shard a task."""
     full = df.select(*[
         (F.col(name) if name in df.columns else F.lit("")).alias(name) for name in spec.columns
     ])
-    shards = max(len(spec.archives), df.sparkSession.sparkContext.defaultParallelism)
-    full.repartition(shards).write.options(
+    full.write.options(
         sep=";", header="false", quote='"', escape='"', encoding="ISO-8859-1", quoteAll="true",
     ).csv(path)
 

@@ -6,6 +6,7 @@ from test_files import LAYOUT, shard, write_month
 
 from alvara.operators.companies import new_companies
 from alvara.plans import monthly
+from alvara.registered import queries
 from alvara.registered.analog import EXTRACTION, Analog
 from alvara.sources import registry_csv, spanning
 
@@ -84,6 +85,22 @@ def test_only_spanning_lines_are_shuffled(spark, tmp_path):
     assert written and max(written) < 100
 
 
+def test_shards_are_written_by_the_tasks_that_make_them(spark, tmp_path):
+    rows = spark.range(100, numPartitions=3).selectExpr("cast(id as string) codigo", "'d' descricao")
+    queries._write_shards(rows, LAYOUT.tables["cnaes"], str(tmp_path / "a"))
+    assert len(list((tmp_path / "a").glob("*.csv"))) == 3
+    assert spark.read.csv(str(tmp_path / "a"), sep=";").count() == 100
+
+
+def test_line_items_are_shuffled_twice_at_most(no_broadcast):
+    plan = Analog(no_broadcast, FOLDER).establishments()._jdf.queryExecution().executedPlan().toString()
+    keys = [k for k in ("c_custkey", "o_custkey", "l_orderkey", "l_partkey") if f"hashpartitioning({k}" in plan]
+    assert keys == ["c_custkey", "o_custkey", "l_orderkey", "l_partkey"]
+    wide = [line for line in plan.splitlines() if "hashpartitioning(o_custkey" in line]
+    item = plan[plan.index("hashpartitioning(o_custkey"):].split("hashpartitioning(c_custkey")[0]
+    assert len(wide) == 1 and "l_orderkey" not in item
+
+
 def test_crooked_rows_are_named_from_the_same_pass(spark, tmp_path):
     raw = tmp_path / "raw" / "2026-06"
     for table, spec in LAYOUT.tables.items():
