@@ -39,12 +39,18 @@ def company_id(digits: str | Column) -> Column:
 
 def scrub_controls(text: str | Column) -> Column:
     """Characters U+0080 to U+009F become ``?``; the length stays the same."""
-    return F.translate(_col(text), CONTROL_CHARACTERS, "?" * len(CONTROL_CHARACTERS))
+    replaced = F.translate(_col(text), CONTROL_CHARACTERS, "?" * len(CONTROL_CHARACTERS))
+    return F.when(_plain(text), _col(text)).otherwise(replaced)
 
 
 def count_controls(text: str | Column) -> Column:
     kept = F.translate(_col(text), CONTROL_CHARACTERS, "")
-    return F.coalesce(F.length(_col(text)) - F.length(kept), F.lit(0))
+    return F.when(_plain(text), 0).otherwise(F.coalesce(F.length(_col(text)) - F.length(kept), F.lit(0)))
+
+
+def _plain(text: str | Column) -> Column:
+    """Is every character one byte? Then none is a control character, and none need be looked at."""
+    return F.octet_length(_col(text)) == F.length(_col(text))
 
 
 def capitalised(text: str | Column) -> Column:

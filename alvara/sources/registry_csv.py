@@ -176,16 +176,26 @@ class CrookedRows(ValueError):
 def _parsed_lines(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
     """Every line of a table's shards parsed on its own, with its file and its faults."""
     spec = layout.tables[table]
-    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n")
-    line = F.decode(spanning.without_return("value").cast("binary"), layout.csv["encoding"])
-    options = dict(layout.csv, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
-    parsed = lines.select(
-        F.from_csv(line, _with_bad(spec.schema).toDDL(), options).alias("_row"),
+    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n").select(
+        F.decode(spanning.without_return("value").cast("binary"), layout.csv["encoding"]).alias("_text"),
         F.col("_metadata.file_name").alias(SOURCE_FILE),
-        (spanning.needs_joining("value") == 1).alias(JOINED), F.trim(line).alias("_text"),
+        (spanning.needs_joining("value") == 1).alias(JOINED),
     )
     # A blank line is no row. The text goes no further.
-    return parsed.where(F.col(JOINED) | (F.col("_text") != "")).select("_row.*", SOURCE_FILE, JOINED)
+    return _parsed(lines.where(F.col(JOINED) | (F.trim("_text") != "")), "_text", spec, layout)
+
+
+def _parsed(records: DataFrame, record: str, spec: TableLayout, layout: Layout) -> DataFrame:
+    """Columns, faults and replaced characters of records.
+
+    Control characters are replaced before the columns are told apart: none of them is part
+    of the file's syntax, and a record is looked through once, not column by column.
+    """
+    options = dict(layout.csv, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
+    return records.select(
+        F.from_csv(text.scrub_controls(record), _with_bad(spec.schema).toDDL(), options).alias("_row"),
+        text.count_controls(record).cast("long").alias(REPLACED), SOURCE_FILE, JOINED,
+    ).select("_row.*", REPLACED, SOURCE_FILE, JOINED)
 
 
 def _staged_rows(rows: DataFrame, spec: TableLayout) -> DataFrame:
@@ -193,10 +203,8 @@ def _staged_rows(rows: DataFrame, spec: TableLayout) -> DataFrame:
 
     Without a shuffle: the status and the opening window then skip most pages of a file.
     """
-    replaced = sum((text.count_controls(name) for name in spec.columns), F.lit(0)).cast("long")
     cleaned = rows.select(
-        *[text.scrub_controls(name).alias(name) for name in spec.columns],
-        replaced.alias(REPLACED), F.col(BAD_ROW).isNotNull().alias(BAD_ROW), JOINED, SOURCE_FILE)
+        *spec.columns, REPLACED, F.col(BAD_ROW).isNotNull().alias(BAD_ROW), JOINED, SOURCE_FILE)
     return cleaned.sortWithinPartitions(SOURCE_FILE, *spec.clustered_by)
 
 
@@ -229,8 +237,9 @@ def _stage_table(spark: SparkSession, source: str, target: str, table: str, layo
     facts = _facts(spark, target).collect()
     odd = [f"{source}/{row[SOURCE_FILE]}" for row in facts if row.odd]
     if odd:
-        options = dict(layout.csv, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
-        write(_joined(spark, odd, _with_bad(spec.schema), options).withColumn(JOINED, F.lit(False)))
+        found = spanning.records(spark, odd, layout.csv["encoding"]).select(
+            "record", F.col("file").alias(SOURCE_FILE), F.lit(False).alias(JOINED))
+        write(_parsed(found, "record", spec, layout))
         facts = _facts(spark, target).collect()
     bad = [(table, row[SOURCE_FILE], row.bad) for row in facts if row.bad]
     if bad:

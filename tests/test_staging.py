@@ -85,6 +85,19 @@ def test_only_spanning_lines_are_shuffled(spark, tmp_path):
     assert written and max(written) < 100
 
 
+def test_staging_looks_through_a_line_once(spark, tmp_path):
+    """Control characters are replaced and counted in the whole record, not column by column."""
+    spec = LAYOUT.tables["estabelecimentos"]
+    values = ["a\x80b", "\x9f", "\xe9\x85\xe9", "plain"] + ["x"] * (len(spec.columns) - 4)
+    shard(tmp_path, "estabelecimentos", [";".join(f'"{v}"' for v in values)])
+    found = registry_csv._staged_rows(
+        registry_csv._parsed_lines(spark, str(tmp_path), "estabelecimentos", LAYOUT), spec)
+    row = found.first()
+    assert row[:4] == ("a?b", "?", "\xe9?\xe9", "plain") and row[registry_csv.REPLACED] == 3
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") <= 4, plan.count("translate(")
+
+
 def test_shards_are_written_by_the_tasks_that_make_them(spark, tmp_path):
     rows = spark.range(100, numPartitions=3).selectExpr("cast(id as string) codigo", "'d' descricao")
     queries._write_shards(rows, LAYOUT.tables["cnaes"], str(tmp_path / "a"))
