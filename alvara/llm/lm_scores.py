@@ -2,21 +2,23 @@
 
 All words and all n-grams are counted, without a vocabulary. The key of a word is the
 64-bit hash of its bytes, that of a longer n-gram the hash of its prefix's key, exclusive-or
-the key of its last word; so a table of n-grams needs their prefixes only, and gives their
-last words. Two n-grams share a key with probability 2^-64; their counts are then one.
+the key of its last word. Two n-grams share a key with probability 2^-64; their counts are
+then one.
 
 S_1(w) = c(w) / N and S_k = c_k / c_(k-1)(prefix) where the n-gram was seen ``least``
-times (by default: once), else ``BACKOFF`` * S_(k-1)(suffix). The count tables of all orders are joined with
-each other, which gives each n-gram the logarithm of S at its last word. Every position of a
-text counts with the longest n-gram that ends there: these (document, n-gram, times) are
-joined with the table of logarithms, partitioned by hash on both sides, and summed for each
-document. Terms are whole millionths, so sums don't depend on order.
+times (by default: once), else ``BACKOFF`` * S_(k-1)(suffix). Texts lie in blocks of about
+``BLOCK`` words, written once, with the words of a block numbered. A block sends each of its
+n-grams once, sorted by key and cut into ranges of keys; the blocks' counts of a range are added
+up in one group, and each block gets the sums back in the order in which it sent the keys, so
+without them. Then it has the counts of all its n-grams, of their prefixes and suffixes, and every
+position of a text counts with the longest n-gram that ends there. Terms are whole millionths, so
+sums don't depend on order.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,10 @@ ORDER = 2
 LEAST = 1
 BACKOFF = 0.4
 UNIT = 1_000_000
-#: Words whose hashes a worker keeps at once; others are hashed again.
-KEPT = 200_000
+#: Words of a block, of one text at least, and of a range of keys on average.
+BLOCK, RANGE = 600_000, 3_000_000
+#: Blocks of an Arrow batch, some MB each, and where Spark is told.
+BLOCK_ROWS, ARROW_CONF = 2, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,95 +78,141 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _keys(known):
-    """From a text to the keys of its words; those not in ``known``, if given, share key 0."""
-    kept: dict[bytes, int] = {}
-    digest = xxhash.xxh3_64_intdigest
+def packed(numbers: np.ndarray) -> bytes:
+    """All highest bytes, then all second ones and so on: sorted or small numbers become runs."""
+    return numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize)[:, ::-1].T.tobytes()
 
-    def key(word: bytes) -> int:
-        found = kept.get(word)
-        if found is None:
-            if len(kept) >= KEPT:
-                kept.clear()
-            found = kept[word] = digest(word) if known is None or word in known.value else 0
-        return found
 
-    def run(text: str | None) -> np.ndarray:
-        split = (text or "").encode().split()
-        return np.fromiter(map(key, split), np.uint64, len(split))
-    return run
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1)[::-1].T).view(kind).ravel()
 
 
-def _counted(known, order: int):
-    """(gram, k, prefix, n) of all n-grams up to ``order``, summed over some rows."""
+def _blocks(known, most: int):
+    """Texts in blocks: the keys of the block's words, and its texts in numbers of these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _keys(known)
+        from pyspark import TaskContext
+
+        numbers: defaultdict = defaultdict()
+        numbers.default_factory = numbers.__len__
+        context, made, held = TaskContext.get(), 0, 0
+        docs, texts = [], []
+
+        def block() -> pa.RecordBatch:
+            digest = xxhash.xxh3_64_intdigest
+            keys = np.fromiter(
+                (digest(w) if known is None or w in known.value else 0 for w in numbers), np.uint64, len(numbers))
+            sizes = np.array([len(t) for t in texts], np.int32)
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([context.partitionId() << 32 | made], pa.int64()), pa.array([held], pa.int64()),
+                 pa.array([docs], pa.list_(pa.int64())), pa.array([packed(sizes)], pa.binary()),
+                 pa.array([packed(keys)], pa.binary()), pa.array([packed(np.concatenate(texts))], pa.binary())],
+                ["block", "words", "docs", "sizes", "keys", "texts"])
+            numbers.clear()
+            docs.clear()
+            texts.clear()
+            return row
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                ids = [keys(t.as_py()) for t in batch.column(0).slice(at, 500)]
-                grams = ids
-                prefixes = [np.zeros(len(i), np.uint64) for i in ids]
-                for k in range(1, order + 1):
-                    if k > 1:
-                        prefixes = [g[:-1] for g in grams]
-                        grams = [mixed(p) ^ i[k - 1:] for p, i in zip(prefixes, ids)]
-                    some, where, often = np.unique(np.concatenate(grams), return_index=True, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some.view(np.int64)), pa.array(np.full(len(some), k, np.int8)),
-                         pa.array(np.concatenate(prefixes)[where].view(np.int64)), pa.array(often.astype(np.int64))],
-                        ["gram", "k", "prefix", "n"])
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                split = (text.as_py() or "").encode().split()
+                if docs and (held + len(split) > most or len(docs) >= most):
+                    yield block()
+                    made, held = made + 1, 0
+                docs.append(doc)
+                texts.append(np.fromiter(map(numbers.__getitem__, split), np.int32, len(split)))
+                held += len(split)
+        if docs:
+            yield block()
     return run
 
 
-def _longest(known, order: int):
-    """(doc_id, gram, times): for every position the longest n-gram that ends there."""
+def _grams(sizes: np.ndarray, keys: np.ndarray, texts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each k the keys of the k-grams of a block's texts, and the places of their last words."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    word = gram = keys[texts]
+    out = [(gram, np.arange(len(gram)))]
+    for k in range(2, order + 1):
+        gram = mixed(gram[:-1]) ^ word[k - 1:]
+        inside = doc[k - 1:] == doc[:len(gram)]
+        out.append((gram[inside], np.flatnonzero(inside) + k - 1))
+    return out
+
+
+def _numbers(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return unpacked(row["sizes"], np.int32), unpacked(row["keys"], np.uint64), unpacked(row["texts"], np.int32)
+
+
+def _sent(order: int, ranges: int):
+    """(range, block, keys, counts): the distinct n-grams of each block, sorted, by range of keys."""
+    starts = np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _keys(known)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                docs, grams, times = [], [], []
-                part = batch.slice(at, 500)
-                for row, text in enumerate(part.column(1)):
-                    gram = ids = keys(text.as_py())
-                    ends = []
-                    for k in range(2, order + 1):
-                        ends.append(gram[:1])
-                        gram = mixed(gram[:-1]) ^ ids[k - 1:]
-                    some, often = np.unique(np.concatenate([*ends, gram]), return_counts=True)
-                    docs.append(np.full(len(some), row))
-                    grams.append(some)
-                    times.append(often)
-                if docs:
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(np.concatenate(docs))),
-                         pa.array(np.concatenate(grams).view(np.int64)),
-                         pa.array(np.concatenate(times).astype(np.int64))], ["doc_id", "gram", "times"])
+            for row in range(batch.num_rows):
+                row = batch.slice(row, 1).to_pylist()[0]
+                some, often = np.unique(
+                    np.concatenate([g for g, _ in _grams(*_numbers(row), order)]), return_counts=True)
+                cuts = [0, *np.searchsorted(some, starts).tolist(), len(some)]
+                parts = [(k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                often = often.astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([row["block"]] * len(parts), pa.int64()),
+                     pa.array([packed(some[a:b]) for _, a, b in parts], pa.binary()),
+                     pa.array([packed(often[a:b]) for _, a, b in parts], pa.binary())],
+                    ["range", "block", "keys", "counts"])
     return run
 
 
-def logarithms(counts: DataFrame, total: int, order: int, least: int, backoff: float) -> DataFrame:
-    """(gram, log): the logarithm of S at the last word of each n-gram of ``counts``, in millionths."""
+def _summed(key: tuple, rows: pa.Table) -> pa.Table:
+    """The sums over all blocks of a range of keys, for each block in the order of its keys."""
+    keys = [unpacked(k.as_py(), np.uint64) for k in rows.column("keys")]
+    counts = np.concatenate([unpacked(c.as_py(), np.uint32) for c in rows.column("counts")])
+    some, place = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros(len(some), np.int64)
+    np.add.at(sums, place, counts)
+    sums = np.split(sums[place], np.cumsum([len(k) for k in keys])[:-1])
+    return pa.table({
+        "range": pa.array([key[0].as_py()] * len(keys), pa.int32()), "block": rows.column("block"),
+        "sums": pa.array([packed(s) for s in sums], pa.binary())})
+
+
+def _rounded(x: np.ndarray) -> np.ndarray:
+    return np.trunc(x * UNIT + np.copysign(0.5, x)).astype(np.int64)
+
+
+def _scored(total: int, order: int, least: int, backoff: float):
+    """(doc_id, n_words, own) of a block's texts, from the sums of its n-grams."""
     step = round(math.log(backoff) * UNIT)
-    lower = materialise(counts.where("k = 1").select(
-        "gram", "n", F.col("gram").alias("last"), F.round(F.log(F.col("n") / F.lit(total)) * UNIT).cast("long").alias("log"),
-        F.lit(total).cast("long").alias("n_prefix")), "order-1")
-    out = lower.select("gram", "log")
-    for k in range(2, order + 1):
-        rows = counts.where(F.col("k") == k).select(
-            "gram", "n", "prefix", F.col("gram").bitwiseXOR(F.xxhash64("prefix")).alias("last"))
-        before = lower.select(F.col("gram").alias("prefix"), F.col("n").alias("n_prefix"), F.col("last").alias("middle"))
-        if k == 2:
-            suffix = F.col("last")
-        else:
-            suffix = F.xxhash64("middle").bitwiseXOR(F.col("last"))
-        rows = rows.join(before, "prefix").select("gram", "n", "last", "n_prefix", suffix.alias("suffix"))
-        after = lower.select(F.col("gram").alias("suffix"), F.col("n").alias("n_suffix"), F.col("n_prefix").alias("n_middle"), "log")
-        gain = F.log(F.col("n") / F.col("n_prefix")) - F.log(F.col("n_suffix") / F.col("n_middle")) - math.log(backoff)
-        gain = F.when(F.col("n") >= least, F.round(gain * UNIT).cast("long")).otherwise(F.lit(0))
-        lower = materialise(rows.join(after, "suffix").select(
-            "gram", "n", "last", (F.col("log") + step + gain).alias("log"), "n_prefix"), f"order-{k}")
-        out = out.unionByName(lower.select("gram", "log"))
-    return out
+
+    def run(blocks: pa.Table, sums: pa.Table) -> pa.Table:
+        docs, n, own = [], [], []
+        for row in blocks.to_pylist():
+            parts = sorted(zip(sums.column("range").to_pylist(), sums.column("sums").to_pylist()))
+            found = np.concatenate([np.zeros(0, np.int64), *(unpacked(p, np.int64) for _, p in parts)])
+            sizes, keys, texts = _numbers(row)
+            grams = _grams(sizes, keys, texts, order)
+            place = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)[1]
+            counts, at = [np.full(len(texts), total, np.int64)], 0  # counts[k]: of the k-gram that ends at a place
+            for gram, ends in grams:
+                counts.append(np.zeros(len(texts), np.int64))
+                counts[-1][ends] = found[place[at:at + len(gram)]]
+                at += len(gram)
+            logs = _rounded(np.log(counts[1] / total))
+            for k in range(2, order + 1):
+                ends = grams[k - 1][1]
+                seen, suffix = counts[k][ends], counts[k - 1][ends]
+                prefix, middle = counts[k - 1][ends - 1], counts[k - 2][ends - 1]
+                gain = np.log(seen / prefix) - np.log(suffix / middle) - math.log(backoff)
+                logs[ends] += step + np.where(seen >= least, _rounded(gain), 0)
+            upto = np.concatenate([[0], np.cumsum(logs)])
+            ends = np.cumsum(sizes, dtype=np.int64)
+            docs += row["docs"]
+            n += sizes.tolist()
+            own += (upto[ends] - upto[ends - sizes]).tolist()
+        return pa.table({"doc_id": pa.array(docs, pa.int64()), "n_words": pa.array(n, pa.int64()),
+                         "own": pa.array(own, pa.int64())})
+    return run
 
 
 def score(
@@ -181,16 +231,21 @@ def score(
         raise ValueError("order 2 or 3, size and least from 1 on")
     docs = tidy(docs, doc_id="long", text="string")
     known = None if size is None else docs.sparkSession.sparkContext.broadcast(vocabulary(docs, size))
-    counts = materialise(
-        docs.select("text").mapInArrow(_counted(known, order), "gram long, k byte, prefix long, n long")
-        .groupBy("gram").agg(F.min("k").alias("k"), F.min("prefix").alias("prefix"), F.sum("n").alias("n")), "counts")
-    total = counts.where("k = 1").agg(F.sum("n")).first()[0] or 1
-    logs = logarithms(counts, total, order, least, backoff)
-    found = docs.mapInArrow(_longest(known, order), "doc_id long, gram long, times long").join(logs, "gram")
-    found = found.groupBy("doc_id").agg(
-        F.sum("times").alias("n_words"), F.sum(F.col("times") * F.col("log")).alias("own"))
-    zero = F.lit(0).cast("long")
-    every = materialise(found, "found").unionByName(docs.select("doc_id", zero.alias("n_words"), zero.alias("own")))
+    blocks = materialise(docs.mapInArrow(
+        _blocks(known, BLOCK), "block long, words long, docs array<long>, sizes binary, keys binary, texts binary"), "blocks")
+    total = blocks.agg(F.sum("words")).first()[0] or 0
+    ranges = max(1, math.ceil(order * total / RANGE))
+    conf = docs.sparkSession.conf
+    rows = conf.get(ARROW_CONF)
+    conf.set(ARROW_CONF, BLOCK_ROWS)
+    try:
+        sums = materialise(
+            blocks.mapInArrow(_sent(order, ranges), "range int, block long, keys binary, counts binary")
+            .groupBy("range").applyInArrow(_summed, "range int, block long, sums binary"), "sums")
+        every = materialise(blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
+            _scored(max(total, 1), order, least, backoff), "doc_id long, n_words long, own long"), "scored")
+    finally:
+        conf.set(ARROW_CONF, rows)
     return every.groupBy("doc_id").agg(
         F.sum("n_words").alias("n_words"), F.sum("own").alias("log_score")).withColumn(
         "per_word", F.round(F.col("log_score") / F.nullif(F.col("n_words"), F.lit(0)) / UNIT, 6))

@@ -84,3 +84,40 @@ def test_what_was_seen_once_counts(spark, order):
             gram = tuple(v[max(0, k - order + 1):k + 1])
             total += math.log(grams[gram] / (grams[gram[:-1]] if len(gram) > 1 else 8))
         assert got[d].n_words == len(v) and abs(got[d].log_score / 1e6 - total) < 1e-5
+
+
+def test_counts_are_those_of_all_blocks_and_ranges(spark, monkeypatch):
+    """Many small blocks and ranges of keys; texts longer than a block, without words, with null ids."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(k % 40, " ".join(rng.choices("a b c d e f g h".split(), k=rng.randrange(0, 30)))) for k in range(120)]
+    rows += [(50, None), (51, " \t"), (None, "a b a"), (None, None), (52, "a b " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for order in (2, 3):
+        expected = sorted(map(tuple, lm_scores.score(docs, order, 2).collect()), key=str)
+        assert {r[0]: r[1] for r in expected} == {d: n for d, (n, _) in slow(rows, order, 99).items()}
+        with monkeypatch.context() as patch:
+            patch.setattr(lm_scores, "BLOCK", 25)
+            patch.setattr(lm_scores, "RANGE", 40)
+            assert sorted(map(tuple, lm_scores.score(docs, order, 2).collect()), key=str) == expected
+
+
+def test_packed_numbers():
+    for kind in (np.int32, np.uint32, np.int64, np.uint64):
+        some = np.random.default_rng(2).integers(0, 2**31, 99).astype(kind)
+        assert lm_scores.unpacked(lm_scores.packed(some), kind).tolist() == some.tolist()
+        assert len(lm_scores.unpacked(lm_scores.packed(some[:0]), kind)) == 0
+
+
+def test_little_is_shuffled(spark, tmp_path):
+    """An n-gram of a block goes to its range once and its sum comes back: a few bytes each."""
+    from alvara.session import shared_dir
+
+    rows = [(k, " ".join(f"w{(k * j * 7919) % 60_000}" for j in range(1_500))) for k in range(120)]
+    before = set(__import__("os").listdir(shared_dir(spark)))
+    lm_scores.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    written = [f for f in (__import__("pathlib").Path(shared_dir(spark))).iterdir() if f.name not in before]
+    held = sum(f.stat().st_size for d in written for f in d.rglob("*.parquet"))
+    # some 6 bytes for each of 180 000 positions; tables of n-grams took more than 30
+    assert held < 15 * 180_000
