@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alvara.session import materialise
+from alvara.session import materialise, read_in_turn
 
 __all__ = ["materialise", "table", "tidy", "fresh", "bucketed_rank"]
 
@@ -18,6 +18,7 @@ BUCKET_ROWS = 50_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    read_in_turn(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -28,6 +29,7 @@ def tidy(df: DataFrame, **kinds: str) -> DataFrame:
     long, so Arrow batches get few rows from here on.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    read_in_turn(df.sparkSession)
     return df.select(*[
         (df[f"`{name}`"] if name in df.columns else F.lit(None)).cast(kind).alias(name)
         for name, kind in kinds.items()

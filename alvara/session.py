@@ -34,6 +34,16 @@ TARGET_PARTITION_BYTES = 128 << 20
 #: collection of garbage.
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Parquet's reader asks for all ranges of a row group at once. From local disks that goes through a
+#: pool of threads, each of which keeps a buffer outside the heap as large as its largest range (a
+#: whole column of a row group); in turn, in pieces on the heap, nothing is kept.
+AT_ONCE = "parquet.hadoop.vectored.io.enabled"
+
+
+def read_in_turn(spark: SparkSession) -> None:
+    """Parquet columns are read one after the other, from now on and for tables opened before too."""
+    spark.conf.set(AT_ONCE, "false")
+
 
 def tuned(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     """Apply the settings; ``shuffle_bytes`` sizes the shuffles of a large run.
@@ -79,6 +89,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the result's input, never those of all steps.
     """
     spark = df.sparkSession
+    read_in_turn(spark)
     path = run_dir(spark, name)
     before = spark.conf.get(DROP_SHUFFLES, None)
     spark.conf.set(DROP_SHUFFLES, "true")
