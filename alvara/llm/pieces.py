@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
-A text becomes its symbols, one for each character. An agenda of adjacent symbol pairs
-that a piece of the vocabulary spells is worked off from the best score on, leftmost
-first among equals; each merge puts the pairs with the new neighbours on the agenda.
+A text becomes its symbols, one for each character. The adjacent symbol pairs that a piece of
+the vocabulary spells are merged from the best score on, leftmost first among equals: by an
+agenda, on which each merge puts the pairs with the new neighbours, or, of the short segments
+that a batch brings, one pair of each in every round, with numpy.
 What is left over and no piece is written as byte pieces, or as the unknown piece.
 
 No piece continues over a word mark after another character, so a text falls into
@@ -22,6 +23,7 @@ from heapq import heapify, heappop, heappush
 from itertools import chain
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 KEPT = 150_000
 #: Characters of such segments, likewise; a longer segment than LONGEST isn't kept beyond its rows.
 CHARACTERS, LONGEST = 3_000_000, 200
+#: Characters of a segment that is merged together with others; the rank of what is no piece.
+SHORT, NONE = 48, 1 << 30
 #: Rows of a piece of a batch; bounds what is held between texts and ids.
 ROWS = 256
 
@@ -65,6 +69,7 @@ class Vocabulary:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end = self.library.eos_id()
+        self.table, self.beyond = None, len(proto.pieces)
         self.decimal = [str(i) for i in range(len(proto.pieces))].__getitem__
 
     def merge(self, segment: str) -> list[str]:
@@ -102,17 +107,82 @@ class Vocabulary:
         return [p for p in part if p]
 
     def ids(self, segment: str) -> list[int]:
+        return self.written([self.id[p] if p in self.id else self.beyond + ord(p) for p in self.merge(segment)])
+
+    def written(self, numbers: list[int]) -> list[int]:
+        """Numbers beyond the pieces' are characters: their byte pieces, or the unknown piece."""
         out = []
-        for piece in self.merge(segment):
-            known = self.id.get(piece)
-            if known is not None:
-                out.append(known)
+        for number in numbers:
+            if number < self.beyond:
+                out.append(number)
             elif self.byte:
-                out.extend(self.byte[b] for b in piece.encode())
+                out.extend(self.byte[b] for b in chr(number - self.beyond).encode())
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
         return out
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each character, and of all pairs that spell a piece: both numbers in
+        one, sorted; rank and piece. A character that is no piece has a number beyond the pieces'."""
+        number = np.arange(0x110000, dtype=np.int64) + self.beyond
+        for piece, i in self.id.items():
+            if len(piece) == 1:
+                number[ord(piece)] = i
+        found = {}
+        for piece, i in self.id.items():
+            for cut in range(1, len(piece)):
+                both = [self.id.get(x, self.beyond + ord(x) if len(x) == 1 else None) for x in (piece[:cut], piece[cut:])]
+                if None not in both:
+                    found[both[0] << 32 | both[1]] = self.rank[piece], i
+        keys = sorted(found)
+        return (number, np.array([*keys, NONE << 30], np.int64), np.array([*(found[k][0] for k in keys), NONE], np.int64),
+                np.array([*(found[k][1] for k in keys), 0], np.int64))
+
+    def ids_of(self, segments: list[str]) -> list[list[int]]:
+        """``ids`` of segments of ``SHORT`` characters at most: in each round all of them merge
+        their best pair, the leftmost among equals."""
+        if not segments:
+            return []
+        if self.table is None:
+            self.table = self.pairs()
+        number, keys, ranks, merged = self.table
+
+        def looked_up(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            key = left << 32 | right
+            at = np.searchsorted(keys, key)
+            return np.where(keys[at] == key, ranks[at], NONE), merged[at]
+
+        sizes = np.array([len(s) for s in segments])
+        part = number[np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)]
+        owner = np.repeat(np.arange(len(segments)), sizes)
+        rank, pair = looked_up(part, np.append(part[1:], 0))
+        rank[np.cumsum(sizes) - 1] = NONE
+        ended = []
+        while len(part):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.minimum.reduceat(rank << 31 | np.arange(len(part)), starts)
+            going = best >> 31 < NONE
+            left = best[going] & 0x7FFFFFFF
+            stays = np.ones(len(part), bool)
+            stays[left + 1] = False
+            part[left] = pair[left]
+            rank[left] = rank[left + 1]  # none behind the last symbol of a segment
+            if not going.all():
+                over = np.repeat(~going, np.diff(np.append(starts, len(part))))
+                ended.append((owner[over], part[over]))
+                stays &= ~over
+            place = np.cumsum(stays) - 1
+            left = place[left]
+            part, owner, rank, pair = part[stays], owner[stays], rank[stays], pair[stays]
+            for i in (left, left[(left > 0) & (owner[left - 1] == owner[left])] - 1):
+                i = i[np.append(owner[1:], -1)[i] == owner[i]]
+                rank[i], pair[i] = looked_up(part[i], part[i + 1])
+        owner, part = (np.concatenate([e[k] for e in ended]) for k in (0, 1))
+        odd = set(owner[part >= self.beyond].tolist())
+        part = part[np.argsort(owner, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=len(segments))).tolist()
+        return [self.written(part[a:b]) if k in odd else part[a:b] for k, (a, b) in enumerate(zip([0, *ends], ends))]
+
     def segments(self, text: str) -> list[str]:
         return SEGMENT.findall(MARK + text.replace(" ", MARK)) if text else []
 
@@ -148,6 +218,11 @@ class Encoded(dict):
             self.characters += len(segment)
         return found
 
+    def add(self, segments: list[list[str]]) -> None:
+        """Encode the short ones that the table doesn't have, all at once."""
+        new = [s for s in set(chain.from_iterable(segments)).difference(self, self.older) if len(s) <= SHORT]
+        self.new.update(zip(new, self.words.ids_of(new)))
+
     def settle(self) -> None:
         """Check what is new, and keep the table bounded."""
         if self.new:
@@ -187,7 +262,9 @@ def _run(path: str, digest: bool, end: bool):
 
     def rows(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = vocabulary(path)
-        ids = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
+        texts = piece.column(1).to_pylist()
+        encoded(path).add([words.segments(t or "") for t in texts])
+        ids = [encode_text(path, t, end) for t in texts]
         encoded(path).settle()
         texts = [words.library.decode(i) for i in ids]
         counts = [len(i) for i in ids]
