@@ -2,12 +2,14 @@
 
 A text becomes its symbols, one for each character. An agenda of adjacent symbol pairs
 that a piece of the vocabulary spells is worked off from the best score on, leftmost
-first among equals; each merge puts the pairs with the new neighbours on the agenda.
+first among equals; each merge puts the pairs with the new neighbours on the agenda. The
+agendas of short segments are rows of a matrix with a column for each pair.
 What is left over and no piece is written as byte pieces, or as the unknown piece.
 
 No piece continues over a word mark after another character, so a text falls into
 segments (word marks and what follows up to the next ones) that cannot influence each
-other. Their encodings are kept in a bounded table in each Python worker. Segments new
+other. Where no piece has letters or digits beside other characters either, segments end
+there too. Their encodings are kept in a bounded table in each Python worker. Segments new
 to the table are compared with the sentencepiece library, batch by batch; a difference
 stops the job. Vocabularies with other settings than those used here are refused.
 """
@@ -16,12 +18,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from array import array
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, filterfalse
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +41,30 @@ SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 KEPT = 150_000
 #: Characters of such segments, likewise; a longer segment than LONGEST isn't kept beyond its rows.
 CHARACTERS, LONGEST = 3_000_000, 200
-#: Rows of a piece of a batch; bounds what is held between texts and ids.
-ROWS = 256
+#: Characters of a segment that is merged together with others.
+SHORT = 40
+#: Rows of a piece of a batch, and characters of texts that are encoded together; they bound
+#: what is held between texts and ids.
+ROWS, TOGETHER = 256, 1_000_000
+
+
+def runs(others: str) -> re.Pattern:
+    """Word marks, and the letters and digits, or the other characters, that follow them;
+    the letters and digits in ``others`` count as other characters."""
+    others = re.escape(f"_{others}")
+    return re.compile(rf"{MARK}*+(?:[^\W{others}]++|(?:[^\w{MARK}]|[{others}])++)|{MARK}++")
+
+
+def packed(ids: Iterable[int]) -> bytes:
+    """Four bytes for each number; what is packed already stays as it is."""
+    return array("i", ids).tobytes()
+
+
+def without(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each row without its element at ``at``."""
+    stays = np.ones(rows.shape, bool)
+    stays[np.arange(len(at)), at] = False
+    return rows[stays].reshape(len(at), rows.shape[1] - 1)
 
 
 class Vocabulary:
@@ -66,6 +93,15 @@ class Vocabulary:
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end = self.library.eos_id()
         self.decimal = [str(i) for i in range(len(proto.pieces))].__getitem__
+        inside = set(chain.from_iterable(p for p in self.rank if len(p) > 1))
+        #: A piece that merges with nothing.
+        self.wall = next((p for p in self.rank if len(p) == 1 and p not in inside), "")
+        self.front = packed(self.library.encode(self.wall))
+        others = {c for p in self.rank if not runs("").fullmatch(p) for c in p if c.isalnum()}
+        run = runs("".join(sorted(others)))
+        #: Whether all characters of pieces are pieces.
+        self.whole = inside <= self.rank.keys()
+        self.segment = run if self.wall and self.byte and all(map(run.fullmatch, self.rank)) else SEGMENT
 
     def merge(self, segment: str) -> list[str]:
         """The symbols that are left when no adjacent pair spells a piece.
@@ -113,16 +149,85 @@ class Vocabulary:
                 out.append(self.unknown)
         return out
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """The symbols of all characters; of symbols the ids, and whether others have the same
+        rank; all pairs of symbols that spell a piece (in one number, sorted) and its symbol.
+        Symbols are pieces from the best rank on; one more stands for all characters that are
+        no piece, and for what pairs spell that spell none."""
+        symbol = {p: k for k, p in enumerate(sorted(self.rank, key=self.rank.get))}
+        none, many = len(symbol), Counter(self.rank.values())
+        symbols = np.full(0x110000, none, np.int32)
+        spelled = {(none + 1) ** 2: none}
+        for piece, k in symbol.items():
+            if len(piece) == 1:
+                symbols[ord(piece)] = k
+            for cut in range(1, len(piece)):
+                if piece[:cut] in symbol and piece[cut:] in symbol:
+                    spelled[symbol[piece[:cut]] * (none + 1) + symbol[piece[cut:]]] = k
+        keys = sorted(spelled)
+        ids = np.array([*map(self.id.get, symbol), 0], np.int32)
+        tied = np.array([*(many[self.rank[p]] > 1 for p in symbol), False])
+        return symbols, ids, tied, np.array(keys, np.int64), np.array([spelled[k] for k in keys], np.int32)
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The symbols that pairs spell."""
+        _, ids, _, keys, spelled = self.pairs
+        key = left * np.int64(len(ids)) + right
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, spelled[at], np.int32(len(ids) - 1))
+
+    def ids_of(self, segments: list[str]) -> dict[str, bytes]:
+        """``packed`` ``ids`` of many segments. Those with as many symbols left are rows of one
+        matrix; in each round they merge their best pair, the leftmost among equals, and so have one
+        symbol less. Rows with characters that are no piece, or where different pieces of one
+        rank are best, are taken one by one."""
+        out, by = {}, defaultdict(list)
+        for segment in segments:
+            by[len(segment) if self.whole and len(segment) <= SHORT else 0].append(segment)
+        out.update((s, packed(self.ids(s))) for s in by.pop(0, ()))
+        if not by:
+            return out
+        symbols, ids, tied, _, _ = self.pairs
+        none, width = len(ids) - 1, max(by)
+        names, part = np.empty(0, object), np.empty((0, width), np.int32)
+        best = part  # what each symbol spells with the one behind it
+        for width in range(width, 0, -1):
+            if width in by:
+                fresh = symbols[np.frombuffer("".join(by[width]).encode("utf-32-le"), np.uint32)].reshape(-1, width)
+                names = np.append(names, np.array(by[width], object))
+                part = np.concatenate([part, fresh])
+                last = np.full((len(fresh), 1), none, np.int32)
+                best = np.concatenate([best, np.append(self.pair(fresh[:, :-1], fresh[:, 1:]), last, 1)])
+            at = best.argmin(1)
+            found = best[np.arange(len(at)), at]
+            going = (found < none) & ~tied[found]
+            over, ended = names[~going], part[~going]
+            out.update(zip(over.tolist(), ids[ended].view(f"V{4 * width}").ravel().tolist()))
+            for name in over[(ended == none).any(1) | (found[~going] < none)].tolist():
+                out[name] = packed(self.ids(name))
+            names, part, best, at = names[going], part[going], best[going], at[going]
+            rows = np.arange(len(at))
+            part[rows, at] = found[going]
+            part, best = without(part, at + 1), without(best, at)
+            for first in (at, at - 1):
+                i = np.flatnonzero((first >= 0) & (first < width - 2))
+                best[i, first[i]] = self.pair(part[i, first[i]], part[i, first[i] + 1])
+        return out
+
     def segments(self, text: str) -> list[str]:
-        return SEGMENT.findall(MARK + text.replace(" ", MARK)) if text else []
+        return self.segment.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def check(self, new: dict[str, list[int]]) -> None:
-        """Compare with the library; the mark in front is the one that it adds itself."""
-        names = list(new)
-        for name, found in zip(names, self.library.encode([n[1:] for n in names], num_threads=1)):
-            # of a lone mark the library, given no text, makes nothing
-            if found != new[name] and name != MARK:
-                raise ValueError(f"encoding of {name!r} is {new[name]}, the library has {found}")
+    def check(self, new: dict[str, bytes]) -> None:
+        """Compare with the library; the mark in front is the one that it adds itself. What
+        has no mark in front is given to it behind the wall."""
+        # of a lone mark the library, given no text, makes nothing
+        names = [n for n in new if n != MARK]
+        ours = [packed(new[n]) if n[0] == MARK else self.front + packed(new[n]) for n in names]
+        found = self.library.encode([n[1:] if n[0] == MARK else self.wall + n for n in names], num_threads=1)
+        if [len(x) for x in ours] != [4 * len(x) for x in found] or b"".join(ours) != packed(chain.from_iterable(found)):
+            name, x, y = next(z for z in zip(names, ours, found) if z[1] != packed(z[2]))
+            raise ValueError(f"encoding of {name!r} is {[*array('i', x)]}, the library has {y}")
 
 
 @lru_cache(maxsize=4)
@@ -131,28 +236,36 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoded(dict):
-    """Segment to its ids; what was used before the last clearing is still at hand."""
+    """Segment to its ids, ``packed``; what was used before the last clearing is still at hand."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
-        self.words, self.new, self.older, self.characters = words, {}, {}, 0
-
-    def __missing__(self, segment: str) -> tuple[int, ...]:
-        found = self.older.get(segment)
-        if found is None:
-            ids = self.new.get(segment) or self.words.ids(segment)
-            self.new[segment] = ids
-            found = tuple(ids)
-        if len(segment) <= LONGEST:
-            self[segment] = found
-            self.characters += len(segment)
-        return found
+        self.words, self.new, self.older, self.long, self.characters = words, {}, {}, [], 0
+
+    def __getitem__(self, segment: str) -> tuple[int, ...]:
+        self.add([segment])
+        return tuple(array("i", self.get(segment)))
+
+    def add(self, segments: Iterable[str]) -> None:
+        """Encode those that are new, together."""
+        absent, older = set(filterfalse(self.__contains__, segments)), self.older
+        found = {s: older[s] for s in absent if s in older}
+        new = self.words.ids_of([s for s in absent if s not in found])
+        for some in (found, new):
+            self.update(some)
+            self.characters += sum(map(len, some))
+        self.new.update(new)
+        self.long += (s for s in new if len(s) > LONGEST)
 
     def settle(self) -> None:
         """Check what is new, and keep the table bounded."""
         if self.new:
             self.words.check(self.new)
             self.new = {}
+        for segment in self.long:
+            self.characters -= len(segment)
+            del self[segment]
+        self.long = []
         if len(self) > KEPT or self.characters > CHARACTERS:
             self.older = dict(self)
             self.clear()
@@ -164,13 +277,26 @@ def encoded(path: str) -> Encoded:
     return Encoded(vocabulary(path))
 
 
-def encode_text(path: str, text: str | None, end: bool = True) -> list[int]:
-    """The ids of the whole text, an end id last."""
-    known = encoded(path)
-    found = list(chain.from_iterable([known[s] for s in known.words.segments(text or "")]))
-    if end:
-        found.append(known.words.end)
-    return found
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in their order, in lists of about ``TOGETHER`` characters."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > TOGETHER:
+            yield texts[start:k]
+            start, size = k, 0
+        size += len(text)
+    yield texts[start:]
+
+
+def encode_texts(path: str, texts: list[str | None], end: bool = True) -> list[list[int]]:
+    """The ids of the whole texts, an end id last."""
+    known, out = encoded(path), []
+    last = packed([known.words.end] if end else [])
+    for some in together([t or "" for t in texts]):
+        segments = [known.words.segments(t) for t in some]
+        known.add(chain.from_iterable(segments))
+        out.extend(array("i", b"".join([*map(known.get, s), last])).tolist() for s in segments)
+    return out
 
 
 OUT = T.StructType([
@@ -187,7 +313,7 @@ def _run(path: str, digest: bool, end: bool):
 
     def rows(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = vocabulary(path)
-        ids = [encode_text(path, t.as_py(), end) for t in piece.column(1)]
+        ids = encode_texts(path, piece.column(1).to_pylist(), end)
         encoded(path).settle()
         texts = [words.library.decode(i) for i in ids]
         counts = [len(i) for i in ids]

@@ -88,3 +88,85 @@ def test_table_starts_anew_beyond_its_characters(monkeypatch):
         assert list(known[f"▁word{k}"]) == known.words.library.encode(f"word{k}")
         known.settle()
         assert known.characters <= 510
+
+
+def changed(path, tmp_path, change):
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(open(path, "rb").read())
+    change(proto)
+    (tmp_path / "changed.model").write_bytes(proto.SerializeToString())
+    return str(tmp_path / "changed.model")
+
+
+def as_it_is(proto):
+    pass
+
+
+def equal_scores(proto):
+    for k, piece in enumerate(p for p in proto.pieces if p.type == 1 and len(p.piece) < 4):
+        piece.score = -(k % 40)
+
+
+def letter_beside_a_stop(proto):
+    proto.pieces.add(piece="e.", score=0.5, type=1)
+
+
+def character_that_is_no_piece(proto):
+    proto.pieces.remove(next(p for p in proto.pieces if p.piece == "n"))
+
+
+def no_bytes(proto):
+    for piece in [p for p in proto.pieces if p.type == 6]:
+        proto.pieces.remove(piece)
+    proto.trainer_spec.byte_fallback = False
+
+
+@pytest.mark.parametrize("change", [as_it_is, equal_scores, letter_beside_a_stop, character_that_is_no_piece, no_bytes])
+def test_texts_equal_the_library_whatever_meets(change, tmp_path):
+    """Letters, digits, marks, ².-like neighbours and unknown characters in any order."""
+    import random
+
+    rng, path = random.Random(7), changed(PATH, tmp_path, change)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    parts = [*"aentirhsdTñé0123 .,;:!?'\"()[]_-*/\n\t²½ªßЖ你\U0001f600\x00▁ ̈", "the", "ing", "tion", "  ", "   ", "e.", "².", "._", "__"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 90))) for _ in range(3_000)]
+    pieces.encoded(path).settle()
+    assert pieces.encode_texts(path, texts, end=False) == library.encode(texts)
+    pieces.encoded(path).settle()
+    mixes = change in (letter_beside_a_stop, no_bytes)
+    assert pieces.vocabulary(path).segments("one. two") == (["▁one.", "▁two"] if mixes else ["▁one", ".", "▁two"])
+
+
+def test_new_segments_are_merged_together(monkeypatch):
+    """Words that a batch brings, with whatever stops behind them, need no agenda each."""
+    import random
+
+    rng, words = random.Random(5), pieces.Vocabulary(PATH)
+    known, single = pieces.Encoded(words), []
+    monkeypatch.setattr(words, "merge", lambda s, old=words.merge: single.append(s) or old(s))
+    names = {"".join(rng.choices("aeinorst", k=rng.randrange(3, 15))) for _ in range(2_000)}
+    texts = [f"{n}{stop}" for n in names for stop in ("", ".", ",", "!", '")')]
+    known.add(s for t in texts for s in words.segments(t))
+    assert not single and len(known.new) <= len(names) + 4
+    assert [[i for s in words.segments(t) for i in known[s]] for t in texts] == words.library.encode(texts)
+    known.settle()
+
+
+def test_differences_behind_the_wall_stop():
+    known = pieces.Encoded(pieces.vocabulary(PATH))
+    known["."], known["▁a"]
+    known.settle()
+    known.new = {"▁a": known["▁a"], ".": known["▁a"]}
+    with pytest.raises(ValueError, match="encoding of '.' is"):
+        known.settle()
+
+
+def test_texts_together_are_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER", 10)
+    texts = ["", "abc", "", "x" * 30, "defghij", "k" * 10, "", "l"]
+    found = list(pieces.together(texts))
+    assert [t for some in found for t in some] == texts
+    assert all(sum(map(len, some)) <= 10 or len([t for t in some if t]) == 1 for some in found)
+    assert list(pieces.together([])) == [[]]
