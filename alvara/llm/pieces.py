@@ -249,7 +249,7 @@ class Encoded(dict):
     def add(self, segments: Iterable[str]) -> None:
         """Encode those that are new, together."""
         absent, older = set(filterfalse(self.__contains__, segments)), self.older
-        found = {s: older[s] for s in absent if s in older}
+        found = {s: older.pop(s) for s in absent if s in older}
         new = self.words.ids_of([s for s in absent if s not in found])
         for some in (found, new):
             self.update(some)
