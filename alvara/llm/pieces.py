@@ -9,8 +9,8 @@ What is left over and no piece is written as byte pieces, or as the unknown piec
 No piece continues over a word mark after another character, so a text falls into
 segments (word marks and what follows up to the next ones) that cannot influence each
 other. Where no piece has letters or digits beside other characters either, segments end
-there too. Their encodings are kept in a bounded table in each Python worker. Segments new
-to the table are compared with the sentencepiece library, batch by batch; a difference
+there too. Their encodings are kept in a bounded table that goes with its task: the Python
+worker stays for other work, whose memory it would take. Segments new to the table are compared with the sentencepiece library, batch by batch; a difference
 stops the job. Vocabularies with other settings than those used here are refused.
 """
 
@@ -328,9 +328,13 @@ def _run(path: str, digest: bool, end: bool):
                                ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                yield rows(batch.slice(at, ROWS))
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    yield rows(batch.slice(at, ROWS))
+        finally:
+            encoded.cache_clear()
+            pa.default_memory_pool().release_unused()
     return run
 
 

@@ -60,8 +60,12 @@ SEEN = 50_000
 PARTS_OF_ONE, UNITS = 256, float(1 << 40)
 RECALL = 0.95
 MARK = "[SECRET]"
-#: Rows of an Arrow batch of blocks, 2 MB each, and where Spark is told.
-BLOCK_ROWS, ARROW_CONF = 16, "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of a batch of blocks, 2 MB each, and where Spark is told.
+BLOCK_ROWS = 2
+BATCH_CONFS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+#: Parquet looks at a page's size after 100 rows only unless told to look sooner, and codecs keep
+#: buffers outside the heap as large as their largest page: of blocks, all that a task writes.
+BLOCK_PAGES = {"parquet.page.size.row.check.min": "1"}
 
 _HEX_RUN = bytes(120 if chr(c) in "0123456789abcdef" else 46 for c in range(256))
 
@@ -447,10 +451,11 @@ def trained(docs: DataFrame, recall: float = RECALL) -> Network | None:
     blocks = math.ceil(sum(count.values()) / BLOCK)
     parts = found.withColumn("block", F.col("hash") % blocks).groupBy("block").applyInArrow(
         _block, "block long, x binary, y binary")
-    parts = materialise(parts, "blocks")
-    rows = conf.get(ARROW_CONF)
-    conf.set(ARROW_CONF, BLOCK_ROWS)
+    parts = materialise(parts, "blocks", BLOCK_PAGES)
+    before = {name: conf.get(name) for name in BATCH_CONFS}
     try:
+        for name in BATCH_CONFS:
+            conf.set(name, BLOCK_ROWS)
         step, state = beginning()
         passes = passes_of(3 * sum(count.values()))
         for turn in range(ROUNDS):
@@ -462,7 +467,8 @@ def trained(docs: DataFrame, recall: float = RECALL) -> Network | None:
         held = parts.mapInArrow(_held_out(net), "score long, label long, n long").groupBy("score", "label").agg(
             F.sum("n").alias("n")).orderBy("score", "label").collect()
     finally:
-        conf.set(ARROW_CONF, rows)
+        for name, rows in before.items():
+            conf.set(name, rows)
     return calibrate(net, *(np.array([r[c] for r in held], np.int64) for c in ("score", "label", "n")), recall)
 
 

@@ -80,8 +80,8 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the files.
+def materialise(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, with Parquet's ``options``, and continue from the files.
 
     Used where several plans read one result: the lineage ends in Parquet, so
     later reads prune columns, push filters, and know the true size. The shuffle
@@ -94,7 +94,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(DROP_SHUFFLES, None)
     spark.conf.set(DROP_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(DROP_SHUFFLES)
