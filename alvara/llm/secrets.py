@@ -25,6 +25,7 @@ import random
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,9 +61,8 @@ SEEN = 50_000
 PARTS_OF_ONE, UNITS = 256, float(1 << 40)
 RECALL = 0.95
 MARK = "[SECRET]"
-#: Rows of a batch of blocks, 2 MB each, and where Spark is told.
-BLOCK_ROWS = 2
-BATCH_CONFS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+#: Rows of a batch of blocks, 2 MB each.
+BLOCK_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "2"}
 #: Parquet looks at a page's size after 100 rows only unless told to look sooner, and codecs keep
 #: buffers outside the heap as large as their largest page: of blocks, all that a task writes.
 BLOCK_PAGES = {"parquet.page.size.row.check.min": "1"}
@@ -436,13 +436,25 @@ def _held_out(net: Network):
     return run
 
 
+@contextmanager
+def told(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The session has these settings meanwhile."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def trained(docs: DataFrame, recall: float = RECALL) -> Network | None:
     """The network for ``docs`` (doc_id, text): all findings train it, block by block.
 
     The driver gets counts, sums of networks and the held-out findings' counts by score (of
     which there are at most 20 481), whatever the size of ``docs``.
     """
-    conf = docs.sparkSession.conf
     found = materialise(docs.mapInArrow(
         _findings(SEEN), "view string, hash long, label int").distinct(), "findings")
     count = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
@@ -451,11 +463,9 @@ def trained(docs: DataFrame, recall: float = RECALL) -> Network | None:
     blocks = math.ceil(sum(count.values()) / BLOCK)
     parts = found.withColumn("block", F.col("hash") % blocks).groupBy("block").applyInArrow(
         _block, "block long, x binary, y binary")
-    parts = materialise(parts, "blocks", BLOCK_PAGES)
-    before = {name: conf.get(name) for name in BATCH_CONFS}
-    try:
-        for name in BATCH_CONFS:
-            conf.set(name, BLOCK_ROWS)
+    with told(docs.sparkSession, BLOCK_PAGES):
+        parts = materialise(parts, "blocks")
+    with told(docs.sparkSession, BLOCK_BATCHES):
         step, state = beginning()
         passes = passes_of(3 * sum(count.values()))
         for turn in range(ROUNDS):
@@ -466,9 +476,6 @@ def trained(docs: DataFrame, recall: float = RECALL) -> Network | None:
         net = network(state)
         held = parts.mapInArrow(_held_out(net), "score long, label long, n long").groupBy("score", "label").agg(
             F.sum("n").alias("n")).orderBy("score", "label").collect()
-    finally:
-        for name, rows in before.items():
-            conf.set(name, rows)
     return calibrate(net, *(np.array([r[c] for r in held], np.int64) for c in ("score", "label", "n")), recall)
 
 

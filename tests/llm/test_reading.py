@@ -28,7 +28,8 @@ def test_blocks_of_secrets_keep_no_buffers_outside_the_heap(spark):
     rows = spark.createDataFrame([(k, rng.randbytes(2_000_000).hex()) for k in range(20)], "block long, x string")
     rows = rows.selectExpr("block", "cast(x as binary) x").coalesce(1)
     before = direct_mb(spark)
-    parts = materialise(rows, "blocks", {"compression": "snappy", **secrets.BLOCK_PAGES})
+    with secrets.told(spark, {"spark.sql.parquet.compression.codec": "snappy", **secrets.BLOCK_PAGES}):
+        parts = materialise(rows, "blocks")
     assert parts.selectExpr("sum(length(x))", "max(crc32(x))").first()[0] == 20 * 4_000_000
     assert direct_mb(spark) - before < 32
 
