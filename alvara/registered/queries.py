@@ -13,7 +13,7 @@ from ..functions import dates, numbers, text
 from ..operators import companies, measures, picks, quality, rankings, weekly
 from ..plans import captions as caption_plans
 from ..plans import catalogue, cuts, monthly
-from ..session import materialise, run_dir, tuned
+from ..session import DROP_SHUFFLES, held, materialise, run_dir, tuned
 from ..sources import aggregate_store, dimensions, manifest, registry_csv
 from ..sources.layout import Layout, TableLayout, layout_for
 from . import analog
@@ -41,24 +41,34 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 # --- scans, sources, sinks ------------------------------------------------------
 
 
+#: Rows of a packed shard, which one task reads: some 200 MB of text.
+SHARD_ROWS = 1_000_000
+
+
 def _shards(a: Analog) -> Layout:
-    """The registry's layout, for shards named by Spark's own writer."""
+    """The registry's layout, for packed shards named by Spark's own writer."""
     layout = layout_for("2026-06")
     tables = {
-        name: replace(spec, glob="*.csv")
+        name: replace(spec, glob=f"*.csv{registry_csv.PACKED}")
         for name, spec in layout.tables.items()
     }
     return Layout(tables, layout.forbidden, layout.csv)
 
 
 def _write_shards(df: DataFrame, spec: TableLayout, path: str) -> None:
-    """A raw table as headerless shards, missing columns empty, quotes doubled; a shard a task."""
+    """A raw table as headerless shards, missing columns empty, quotes doubled; a shard a task.
+
+    Where the layout says that shards are packed they are, and of ``SHARD_ROWS`` rows at most.
+    """
+    packed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": SHARD_ROWS}
     full = df.select(*[
         (F.col(name) if name in df.columns else F.lit("")).alias(name) for name in spec.columns
     ])
-    full.write.options(
-        sep=";", header="false", quote='"', escape='"', encoding="ISO-8859-1", quoteAll="true",
-    ).csv(path)
+    with held(df.sparkSession, {DROP_SHUFFLES: "true"}):
+        full.write.options(
+            sep=";", header="false", quote='"', escape='"', encoding="ISO-8859-1", quoteAll="true",
+            **(packed if spec.glob.endswith(registry_csv.PACKED) else {}),
+        ).csv(path)
 
 
 @registered

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,26 @@ DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 AT_ONCE = "parquet.hadoop.vectored.io.enabled"
 
 
+#: What a task reads at most, in bytes of the files.
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+@contextmanager
+def held(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def read_in_turn(spark: SparkSession) -> None:
     """Parquet columns are read one after the other, from now on and for tables opened before too."""
     spark.conf.set(AT_ONCE, "false")
@@ -91,13 +113,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     read_in_turn(spark)
     path = run_dir(spark, name)
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    spark.conf.set(DROP_SHUFFLES, "true")
-    try:
+    with held(spark, {DROP_SHUFFLES: "true"}):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(DROP_SHUFFLES)
-        else:
-            spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

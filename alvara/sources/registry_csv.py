@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..session import DROP_SHUFFLES, READ_BYTES, held
 from . import ledger, spanning
 from .layout import Layout, TableLayout, layout_for
 
@@ -18,6 +19,10 @@ BAD_ROW = "_bad_row"
 SOURCE_FILE = "_file"
 #: What staging notes of a row besides its columns.
 REPLACED, JOINED = "_replaced", "_joined"
+#: Shards that are packed: a task reads a whole one, and they grow to some ten times their bytes.
+PACKED = ".gz"
+#: Bytes of packed shards, or of staged files, that a task sorts in memory.
+SORTED_BYTES = "16m"
 FILE_DATE = r"\.D(\d)(\d{2})(\d{2})\."
 
 
@@ -226,10 +231,12 @@ def _stage_table(spark: SparkSession, source: str, target: str, table: str, layo
     wrong are read again, their records put together, and replace what was written of them.
     """
     spec = layout.tables[table]
+    settings = {DROP_SHUFFLES: "true"} | ({READ_BYTES: SORTED_BYTES} if spec.glob.endswith(PACKED) else {})
 
     def write(rows: DataFrame) -> None:
-        _staged_rows(rows, spec).write.mode("overwrite").option("compression", "zstd") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_FILE).parquet(target)
+        with held(spark, settings):
+            _staged_rows(rows, spec).write.mode("overwrite").option("compression", "zstd") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_FILE).parquet(target)
 
     # What an attempt that died left behind goes first: only whole tables are in the ledger.
     spark.createDataFrame([], T.StructType([*spec.schema.fields])).write.mode("overwrite").parquet(target)
@@ -284,9 +291,12 @@ def by_company(spark: SparkSession, staged: dict[str, DataFrame], stage_root: st
                buckets: int) -> dict[str, DataFrame]:
     """The staged tables with those of companies laid out in ``buckets`` by company id.
 
-    One shuffle, once for each extraction; joins on the id over these tables then need
-    none, and no sort. Worth it where an extraction is joined more than once. The files
-    are found again through the ledger by later sessions with the same ``buckets``.
+    Once for each extraction; joins on the id over these tables then need no shuffle. Nor
+    does the layout: each task sorts the few staged files that it reads in memory and writes
+    a file a bucket, as compressed columns. Rows that went through a shuffle would lie on disk
+    at some eight times those bytes, and a bucket that one task sorts would be spilled. Worth
+    it where an extraction is joined more than once, with few buckets: files are tasks times
+    buckets. They are found again through the ledger by later sessions with the same ``buckets``.
     """
     root = f"{stage_root}/by_company-{buckets}"
     done = {r.tabela for r in shard_facts(spark, root, extraction).select("tabela").distinct().toLocalIterator()}
@@ -296,8 +306,9 @@ def by_company(spark: SparkSession, staged: dict[str, DataFrame], stage_root: st
         target = f"{root}/extracao={extraction}/{table}"
         spark.sql(f"drop table if exists {name}")  # the files of such a table stay
         if table not in done:
-            staged[table].repartition(buckets, COMPANY_ID).write.mode("overwrite").option("path", target) \
-                .option("compression", "zstd").bucketBy(buckets, COMPANY_ID).sortBy(COMPANY_ID).saveAsTable(name)
+            with held(spark, {DROP_SHUFFLES: "true", READ_BYTES: SORTED_BYTES}):
+                staged[table].write.mode("overwrite").option("path", target).option("compression", "zstd") \
+                    .bucketBy(buckets, COMPANY_ID).sortBy(COMPANY_ID).saveAsTable(name)
             ledger.append(spark, f"{root}/staged", STAGED, [(extraction, table, None, None, None)])
         else:
             spark.sql(

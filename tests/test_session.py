@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from alvara import session
@@ -11,3 +12,15 @@ def test_materialise_keeps_rows_and_settings(spark):
     # written again after its shuffles went
     assert session.materialise(rows, "counts").count() == 7
     assert spark.conf.get(session.DROP_SHUFFLES, None) == before
+
+
+def test_held_settings_come_back_after_an_error(spark):
+    spark.conf.set(session.READ_BYTES, "32m")
+    try:
+        with pytest.raises(ZeroDivisionError), session.held(spark, {session.READ_BYTES: "1m", session.DROP_SHUFFLES: "true"}):
+            assert spark.conf.get(session.READ_BYTES) == "1m"
+            1 / 0
+        assert spark.conf.get(session.READ_BYTES) == "32m"
+    finally:
+        spark.conf.unset(session.READ_BYTES)
+    assert spark.conf.get(session.DROP_SHUFFLES, None) is None

@@ -1,9 +1,12 @@
 """What a monthly run reads, and the plans over staged tables."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from test_files import LAYOUT, shard, write_month
 
+from alvara import session
 from alvara.operators.companies import new_companies
 from alvara.plans import monthly
 from alvara.registered import queries
@@ -105,6 +108,55 @@ def test_shards_are_written_by_the_tasks_that_make_them(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "a"), sep=";").count() == 100
 
 
+def test_packed_shards_are_small_and_hold_the_same_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "SHARD_ROWS", 10)
+    layout, path = queries._shards(Analog(spark, FOLDER)), tmp_path / "raw" / "2026-06"
+    for table, spec in layout.tables.items():
+        values = spark.range(100, numPartitions=3).select(
+            F.col("id").cast("string").alias(spec.columns[0]), F.lit('a";\x85é').alias(spec.columns[1]))
+        queries._write_shards(values, spec, str(path / table))
+        names = [f.name for f in (path / table).glob("part-*")]
+        assert len(names) == 12 and all(name.endswith(".csv.gz") for name in names)
+    expected = sorted((str(i), 'a";?é') for i in range(100))
+    scanned = registry_csv.scan(spark, str(path / "cnaes"), "cnaes", layout)
+    assert sorted(map(tuple, scanned.collect())) == expected
+    staged = registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", layout)
+    assert sorted(map(tuple, staged["cnaes"].collect())) == expected
+    assert staged["estabelecimentos"].count() == 100
+
+
+def test_packed_shards_are_sorted_few_at_a_time(spark, tmp_path, monkeypatch):
+    """A task reads no more packed shards than it can sort in memory, whatever the session's own bound."""
+    layout, path = queries._shards(Analog(spark, FOLDER)), tmp_path / "raw" / "2026-06"
+    for table, spec in layout.tables.items():
+        rows = spark.range(60, numPartitions=6).select(F.col("id").cast("string").alias(spec.columns[0]))
+        queries._write_shards(rows, spec, str(path / table))
+    monkeypatch.setattr(registry_csv, "SORTED_BYTES", "1b")
+    spark.conf.set(session.READ_BYTES, "128m")
+    try:
+        registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", layout)
+        assert spark.conf.get(session.READ_BYTES) == "128m"
+    finally:
+        spark.conf.unset(session.READ_BYTES)
+    parts = (tmp_path / "work" / "extracao=2026-06" / "cnaes").rglob("part-*.parquet")
+    assert len({f.name.split("-")[1] for f in parts}) == 6  # tasks that wrote
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+
+def test_shuffles_behind_shards_go_with_their_write(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = spark.range(100).repartition(3, "id").select(F.col("id").cast("string").alias("codigo"))
+    queries._write_shards(rows, LAYOUT.tables["cnaes"], str(tmp_path / "a"))
+    until = time.time() + 20
+    while shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+
+
 def test_line_items_are_shuffled_twice_at_most(no_broadcast):
     plan = Analog(no_broadcast, FOLDER).establishments()._jdf.queryExecution().executedPlan().toString()
     keys = [k for k in ("c_custkey", "o_custkey", "l_orderkey", "l_partkey") if f"hashpartitioning({k}" in plan]
@@ -173,6 +225,32 @@ def test_joins_by_company_need_no_shuffle(no_broadcast, staged, tmp_path):
         laid_out = registry_csv.by_company(spark, staged, root, "2026-06", 4)
 
 
+def test_the_layout_by_company_shuffles_nothing(spark, tmp_path, monkeypatch):
+    """Each task writes a file a bucket, of the few staged files that it sorts in memory."""
+    monkeypatch.setattr(registry_csv, "SORTED_BYTES", "1b")
+    raw, root, ids = tmp_path / "staged", str(tmp_path / "work"), {}
+    for table in registry_csv.BY_COMPANY:
+        rows = spark.range(300, numPartitions=3).select(
+            F.when(F.col("id") % 50 != 0, F.col("id") % 40).cast("string").alias("cnpj_basico"), F.col("id").alias("x"))
+        rows.write.parquet(str(raw / table))
+        ids[table] = sorted(map(str, rows.collect()))
+    staged = {table: spark.read.parquet(str(raw / table)) for table in ids}
+    since = last_execution(spark)
+    found = registry_csv.by_company(spark, staged, root, "2026-06", 2)
+    runs = executed(spark)
+    saved = [
+        run.physicalPlanDescription() for run in map(runs.apply, range(runs.size()))
+        if run.executionId() > since and "by_company-2" in run.physicalPlanDescription()]
+    assert len(saved) >= 3 and not any("Exchange" in plan for plan in saved)
+    for table, expected in ids.items():
+        assert sorted(map(str, found[table].collect())) == expected
+        files = list((tmp_path / "work" / "by_company-2" / "extracao=2026-06" / table).glob("part-*"))
+        assert len({file.name.split("-")[1] for file in files}) == 3  # tasks
+        for file in files:
+            keys = [r.cnpj_basico for r in spark.read.parquet(str(file)).collect()]
+            assert keys == sorted(keys, key=lambda key: (key is not None, key))
+
+
 def test_companies_are_cut_by_a_bloom_filter_before_their_shuffle(no_broadcast, staged):
     spark, key = no_broadcast, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     expected = sorted(map(str, new_companies(staged, EXTRACTION).collect()))
