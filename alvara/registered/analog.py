@@ -115,17 +115,24 @@ class Analog:
     def establishments(self) -> DataFrame:
         """All establishments; what the window leaves out is the operators' business."""
         # Orders meet their customers before the line items, which are then shuffled once less.
+        # What is only tested goes through the shuffles as the outcome, days as dates.
         owned = (
-            self.table("orders")
+            self.table("orders").select(
+                "o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("opened"),
+                (F.col("o_orderstatus") == "P").alias("pending"))
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("o_orderkey", "o_custkey", "o_orderpriority", "opened", "pending", "c_nationkey")
         )
+        items = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", F.to_date("l_shipdate").alias("shipped"),
+            (F.col("l_returnflag") == "R").alias("returned"), (F.col("l_linestatus") == "F").alias("final"),
+            (F.col("l_quantity") < 5).alias("few"), (F.col("l_quantity") < 10).alias("some"))
         joined = (
-            self.table("lineitem")
-            .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
+            items.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         )
-        pending, final = F.col("o_orderstatus") == "P", F.col("l_linestatus") == "F"
+        pending, final = F.col("pending"), F.col("final")
 
         def unless(blank: Column, value: Column) -> Column:
             return F.when(blank, "").otherwise(value)
@@ -136,29 +143,29 @@ class Analog:
             _digits("l_linenumber", 2).alias("cnpj_dv"),
             F.when(F.col("l_linenumber") <= 5, "1").otherwise("2")
             .alias("identificador_matriz_filial"),
-            unless(F.col("l_quantity") < 5, F.col("p_name")).alias("nome_fantasia"),
-            F.when(F.col("l_returnflag") == "R", "08").otherwise("02").alias("situacao_cadastral"),
-            _day("l_shipdate").alias("data_situacao_cadastral"),
+            unless(F.col("few"), F.col("p_name")).alias("nome_fantasia"),
+            F.when(F.col("returned"), "08").otherwise("02").alias("situacao_cadastral"),
+            _day("shipped").alias("data_situacao_cadastral"),
             F.when(F.col("l_orderkey") % 97 == 0, "00000000")
             .when(F.col("l_orderkey") % 101 == 0, "")
-            .otherwise(_day("o_orderdate")).alias("data_inicio_atividade"),
+            .otherwise(_day("opened")).alias("data_inicio_atividade"),
             F.col("p_brand").alias("cnae_fiscal_principal"),
             unless(final, F.concat("p_brand", F.lit(","), "p_type")).alias("cnae_fiscal_secundaria"),
             unless(pending | final, F.col("p_type")).alias("tipo_logradouro"),
             unless(pending, F.col("p_name")).alias("logradouro"),
             unless(pending, F.col("p_size").cast("string")).alias("numero"),
-            unless(pending | (F.col("l_quantity") < 10), F.col("o_orderpriority"))
+            unless(pending | F.col("some"), F.col("o_orderpriority"))
             .alias("complemento"),
             F.lit("").alias("bairro"),
             unless(pending, _digits("l_partkey", 8)).alias("cep"),
             F.when(F.col("c_nationkey") == ABROAD_NATION, ABROAD).otherwise(F.col("n_name"))
             .alias("uf"),
-            self._city().alias("municipio"),
+            self._city("o_custkey").alias("municipio"),
         )
 
     @staticmethod
-    def _city() -> Column:
-        return (F.col("c_nationkey") * 10 + F.col("c_custkey") % 4).cast("string")
+    def _city(customer: str = "c_custkey") -> Column:
+        return (F.col("c_nationkey") * 10 + F.col(customer) % 4).cast("string")
 
     @cache
     def companies(self) -> DataFrame:

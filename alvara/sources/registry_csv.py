@@ -181,13 +181,15 @@ class CrookedRows(ValueError):
 def _parsed_lines(spark: SparkSession, path: str, table: str, layout: Layout) -> DataFrame:
     """Every line of a table's shards parsed on its own, with its file and its faults."""
     spec = layout.tables[table]
-    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n").select(
+    lines = spark.read.option("pathGlobFilter", spec.glob).text(path, lineSep="\n")
+    # A blank line is no row. It is looked for before all else, or else all is made twice.
+    rows = lines.where(F.trim(spanning.without_return("value")) != "").select(
         F.decode(spanning.without_return("value").cast("binary"), layout.csv["encoding"]).alias("_text"),
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         (spanning.needs_joining("value") == 1).alias(JOINED),
     )
-    # A blank line is no row. The text goes no further.
-    return _parsed(lines.where(F.col(JOINED) | (F.trim("_text") != "")), "_text", spec, layout)
+    # The text goes no further.
+    return _parsed(rows, "_text", spec, layout)
 
 
 def _parsed(records: DataFrame, record: str, spec: TableLayout, layout: Layout) -> DataFrame:

@@ -12,6 +12,7 @@ from alvara.plans import monthly
 from alvara.registered import queries
 from alvara.registered.analog import EXTRACTION, Analog
 from alvara.sources import registry_csv, spanning
+from alvara.sources.layout import Layout
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -108,33 +109,50 @@ def test_shards_are_written_by_the_tasks_that_make_them(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "a"), sep=";").count() == 100
 
 
-def test_packed_shards_are_small_and_hold_the_same_rows(spark, tmp_path, monkeypatch):
+def test_blank_lines_are_looked_for_before_a_line_is_decoded(spark, tmp_path):
+    spec = LAYOUT.tables["cnaes"]
+    tmp_path.joinpath("F.K03200$Z.D60613.CNAECSV").write_bytes(b'"1";"a"\r\n\r\n   \n\n \r\n"2";"b\n"3";"c"\r\n')
+    found = registry_csv._staged_rows(registry_csv._parsed_lines(spark, str(tmp_path), "cnaes", LAYOUT), spec)
+    assert [(r.codigo, r[registry_csv.JOINED]) for r in found.orderBy("codigo").collect()] == [
+        ("1", False), ("2", True), ("3", False)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert [line for line in plan if "Filter" in line] and not any("decode(" in line for line in plan if "Filter" in line)
+
+
+@pytest.fixture
+def packed(spark):
+    """The layout of packed shards, of two tables."""
+    layout = queries._shards(Analog(spark, FOLDER))
+    return Layout({name: layout.tables[name] for name in ("cnaes", "estabelecimentos")}, (), layout.csv)
+
+
+def test_packed_shards_are_small_and_hold_the_same_rows(spark, packed, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "SHARD_ROWS", 10)
-    layout, path = queries._shards(Analog(spark, FOLDER)), tmp_path / "raw" / "2026-06"
-    for table, spec in layout.tables.items():
+    path = tmp_path / "raw" / "2026-06"
+    for table, spec in packed.tables.items():
         values = spark.range(100, numPartitions=3).select(
             F.col("id").cast("string").alias(spec.columns[0]), F.lit('a";\x85é').alias(spec.columns[1]))
         queries._write_shards(values, spec, str(path / table))
         names = [f.name for f in (path / table).glob("part-*")]
         assert len(names) == 12 and all(name.endswith(".csv.gz") for name in names)
     expected = sorted((str(i), 'a";?é') for i in range(100))
-    scanned = registry_csv.scan(spark, str(path / "cnaes"), "cnaes", layout)
+    scanned = registry_csv.scan(spark, str(path / "cnaes"), "cnaes", packed)
     assert sorted(map(tuple, scanned.collect())) == expected
-    staged = registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", layout)
+    staged = registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", packed)
     assert sorted(map(tuple, staged["cnaes"].collect())) == expected
     assert staged["estabelecimentos"].count() == 100
 
 
-def test_packed_shards_are_sorted_few_at_a_time(spark, tmp_path, monkeypatch):
+def test_packed_shards_are_sorted_few_at_a_time(spark, packed, tmp_path, monkeypatch):
     """A task reads no more packed shards than it can sort in memory, whatever the session's own bound."""
-    layout, path = queries._shards(Analog(spark, FOLDER)), tmp_path / "raw" / "2026-06"
-    for table, spec in layout.tables.items():
+    path = tmp_path / "raw" / "2026-06"
+    for table, spec in packed.tables.items():
         rows = spark.range(60, numPartitions=6).select(F.col("id").cast("string").alias(spec.columns[0]))
         queries._write_shards(rows, spec, str(path / table))
     monkeypatch.setattr(registry_csv, "SORTED_BYTES", "1b")
     spark.conf.set(session.READ_BYTES, "128m")
     try:
-        registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", layout)
+        registry_csv.stage(spark, str(tmp_path / "raw"), str(tmp_path / "work"), "2026-06", packed)
         assert spark.conf.get(session.READ_BYTES) == "128m"
     finally:
         spark.conf.unset(session.READ_BYTES)
@@ -166,6 +184,18 @@ def test_line_items_are_shuffled_twice_at_most(no_broadcast):
     assert len(wide) == 1 and "l_orderkey" not in item
 
 
+def test_line_items_meet_their_parts_with_few_columns(no_broadcast):
+    """What is only tested lies in the shuffles as its outcome, days as dates, names of states not at all."""
+    plan = Analog(no_broadcast, FOLDER).establishments()._jdf.queryExecution().executedPlan()
+    moved = {
+        key: next(n for n in nodes(plan) if n.nodeName() == "Exchange" and f"hashpartitioning({key}" in n.toString().splitlines()[0])
+        for key in ("l_orderkey", "l_partkey")}
+    kinds = {key: [out.apply(i).dataType().typeName() for i in range(out.size())]
+             for key, out in ((key, node.output()) for key, node in moved.items())}
+    assert "string" not in kinds["l_orderkey"] and "double" not in kinds["l_orderkey"]
+    assert kinds["l_partkey"].count("string") == 1 and "timestamp_ntz" not in kinds["l_partkey"]  # the priority
+
+
 def test_crooked_rows_are_named_from_the_same_pass(spark, tmp_path):
     raw = tmp_path / "raw" / "2026-06"
     for table, spec in LAYOUT.tables.items():
